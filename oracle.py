@@ -397,6 +397,39 @@ FROM raw"""
         f"{with_(FIXTURE_BASE)} SELECT {RAW_COLS} FROM raw "
         f"ORDER BY _loaded_at, _source_file, _row_hash LIMIT 3"
     )
+    # CSV landing: a = 05-31 rows (16 columns), b = 06-01a rows (16, other header),
+    # c = 06-01b rows without customer_state (so NULL there and 15 names in the hash).
+    cols15 = [c for c in BUSINESS_COLUMNS if c != "customer_state"]
+    sel16 = ", ".join(BUSINESS_COLUMNS)
+    sel15 = ", ".join("NULL AS customer_state" if c == "customer_state" else c for c in BUSINESS_COLUMNS)
+    n_cte = f"n AS (SELECT {norm}, _source_file AS fx_file FROM raw)"
+
+    def csv_rows(ts_a: str, ts_bc: str) -> str:
+        return (
+            f"csvraw AS (SELECT {sel16}, {json_hash(BUSINESS_COLUMNS)} AS _row_hash, TIMESTAMP '{ts_a}' AS _loaded_at, "
+            f"'a' AS _source_file FROM n WHERE fx_file = 'orders_2001-05-31.csv' "
+            f"UNION ALL SELECT {sel16}, {json_hash(BUSINESS_COLUMNS)}, TIMESTAMP '{ts_bc}', 'b' FROM n "
+            f"WHERE fx_file = 'orders_2001-06-01a.csv' "
+            f"UNION ALL SELECT {sel15}, {json_hash(cols15)}, TIMESTAMP '{ts_bc}', 'c' FROM n "
+            f"WHERE fx_file = 'orders_2001-06-01b.csv')"
+        )
+
+    landed = csv_rows(f"{AS_OF} 07:00:00", f"{AS_OF} 07:00:00")
+    s["csv_roundtrip"] = (
+        f"{with_(FIXTURE_BASE, n_cte, landed)} SELECT {sel16}, _row_hash, _source_file AS source_group FROM csvraw"
+    )
+    s["stream_ingest"] = s["csv_roundtrip"]
+
+    streamed = csv_rows(f"{PREV_DAY} 07:00:00", f"{AS_OF} 07:00:00")
+    prev_c = staged_ctes("csvraw", PREV_DAY, "p")
+    day_c = staged_ctes("csvraw", AS_OF, "d")
+    gcols = "order_id, order_date, ship_date, customer_name, customer_email, customer_state, product_name, category, " \
+        "quantity, unit_price, discount_pct, revenue, store_name, shipping_method, payment_method, order_status, " \
+        "_row_hash, _loaded_at, _gold_created_at, _source_file AS source_group"
+    s["stream_gold"] = (
+        f"{with_(FIXTURE_BASE, n_cte, streamed, prev_c, day_c, gold_prev, gold_new)} "
+        f"SELECT {gcols} FROM gold_prev UNION ALL SELECT {gcols} FROM gold_new"
+    )
     return s
 
 

@@ -9,6 +9,7 @@ folders under that shared folder.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,9 @@ from pyspark.sql import functions as F
 from quayside.functions.hashing import json_row_hash, portable_row_hash
 from quayside.functions.text import normalise_product, normalise_store, null_tokens_to_null
 from quayside.operators import reports
-from quayside.operators.checklog import check_log, check_rows, reconciliation_row, table_counts
-from quayside.operators.checks import add_casts, stage
-from quayside.operators.dedupe import with_row_ids
-from quayside.operators.checks import DEDUPE_ORDER
-from quayside.operators.dedupe import mark_later_rows
+from quayside.operators.checklog import check_log, reconciliation_row, table_counts
+from quayside.operators.checks import DEDUPE_ORDER, add_casts, stage
+from quayside.operators.dedupe import mark_later_rows, with_row_ids
 from quayside.operators.route import gold_rows, quarantine_rows
 from quayside.plans.gold_run import run_gold
 from quayside.schema import (
@@ -30,7 +29,10 @@ from quayside.schema import (
     GOLD_COLUMNS,
     RAW_SCHEMA,
 )
-from quayside.session import Lakehouse
+from quayside.plans.ingest import ingest_csv
+from quayside.session import Lakehouse, scratch_path
+from quayside.sources.csv_files import write_csv
+from quayside.streaming.ingest_stream import start_ingest_stream
 from quayside.sinks.tables import read_check_log, read_gold
 from quayside.sources.fixture import FIXTURE_AS_OF, FIXTURE_PREV_DAY
 from quayside.sources.raw_table import append_raw, fixture_raw_table, land_fixture, raw_day, read_raw
@@ -222,6 +224,76 @@ def q_rerun_day(spark, sf_dir):
     return read_gold(spark, lake.gold).select(*GOLD_COLUMNS)
 
 
+# ---- landing: CSV files and the file stream ---------------------------------------------
+
+# The fixture's three load files become three CSV folders with different headers:
+# a = standard order; b = reversed order, upper-case padded names; c = no customer_state.
+CSV_GROUPS = (("a", "orders_2001-05-31.csv"), ("b", "orders_2001-06-01a.csv"), ("c", "orders_2001-06-01b.csv"))
+CSV_FILES_PER_GROUP = 4
+
+
+def _group_frame(raw: DataFrame, group: str, source: str) -> DataFrame:
+    rows = raw.where(F.col("_source_file") == source)
+    if group == "a":
+        cols = [F.col(c) for c in BUSINESS_COLUMNS]
+    elif group == "b":
+        cols = [F.col(c).alias(f" {c.upper()} ") for c in reversed(BUSINESS_COLUMNS)]
+    else:
+        cols = [F.col(c) for c in BUSINESS_COLUMNS if c != "customer_state"]
+    # All rows of one order id go to one file, so file-name tie-breaks never decide.
+    return rows.repartition(CSV_FILES_PER_GROUP, "order_id").select(*cols)
+
+
+def _write_fixture_csvs(spark, sf_dir, landing: str, groups=("a", "b", "c")) -> None:
+    raw = _raw(spark, sf_dir)
+    for g, source in CSV_GROUPS:
+        if g in groups:
+            write_csv(_group_frame(raw, g, source), f"{landing}/{g}")
+
+
+def _with_group(df: DataFrame) -> DataFrame:
+    return df.withColumn("source_group", F.regexp_extract("_source_file", r"/([abc])/[^/]+$", 1))
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    landing = scratch_path(spark, "landing")
+    _write_fixture_csvs(spark, sf_dir, landing)
+    lake = Lakehouse.fresh(spark, "lake")
+    ingest_csv(spark, landing, lake.raw, f"{AS_OF} 07:00:00", strict=True)
+    return _with_group(read_raw(spark, lake.raw)).select(*BUSINESS_COLUMNS, "_row_hash", "source_group")
+
+
+def q_stream_ingest(spark, sf_dir):
+    landing = scratch_path(spark, "stream-landing")
+    lake = Lakehouse.fresh(spark, "lake")
+    ckpt = scratch_path(spark, "stream-checkpoint")
+    _write_fixture_csvs(spark, sf_dir, landing, groups=("a",))
+    start_ingest_stream(spark, landing, lake, ckpt, loaded_at=lambda b: f"{AS_OF} 07:00:00").awaitTermination()
+    _write_fixture_csvs(spark, sf_dir, landing, groups=("b", "c"))
+    start_ingest_stream(spark, landing, lake, ckpt, loaded_at=lambda b: f"{AS_OF} 07:00:00").awaitTermination()
+    return _with_group(read_raw(spark, lake.raw)).select(*BUSINESS_COLUMNS, "_row_hash", "source_group")
+
+
+def _next_morning(batch_id, day):
+    return f"{day + dt.timedelta(days=1)} 07:00:00"
+
+
+def q_stream_gold(spark, sf_dir):
+    landing = scratch_path(spark, "stream-landing")
+    lake = Lakehouse.fresh(spark, "lake")
+    ckpt = scratch_path(spark, "stream-checkpoint")
+    _write_fixture_csvs(spark, sf_dir, landing, groups=("a",))
+    start_ingest_stream(
+        spark, landing, lake, ckpt, loaded_at=lambda b: f"{PREV_DAY} 07:00:00", run_gold_after=True, run_ts=_next_morning
+    ).awaitTermination()
+    _write_fixture_csvs(spark, sf_dir, landing, groups=("b", "c"))
+    start_ingest_stream(
+        spark, landing, lake, ckpt, loaded_at=lambda b: f"{AS_OF} 07:00:00", run_gold_after=True, run_ts=_next_morning
+    ).awaitTermination()
+    gold = _with_group(read_gold(spark, lake.gold))
+    return gold.select(*[c for c in GOLD_COLUMNS if c != "_source_file"], "source_group")
+
+
 # ---- profile ----------------------------------------------------------------------------
 
 
@@ -259,6 +331,9 @@ QUERIES: dict[str, Query] = {
     "rerun_day": q_rerun_day,
     "raw_profile": q_raw_profile,
     "raw_preview": q_raw_preview,
+    "csv_roundtrip": q_csv_roundtrip,
+    "stream_ingest": q_stream_ingest,
+    "stream_gold": q_stream_gold,
 }
 
 __all__ = ["QUERIES", "AS_OF", "RUN_TS", "PREV_RUN_TS", "RERUN_TS"]

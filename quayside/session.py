@@ -50,8 +50,16 @@ def build_session(
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings the pipeline depends on, on an existing session."""
-    for k, v in REQUIRED_CONF.items():
+    """Set the runtime SQL settings the pipeline depends on, on an existing session.
+
+    Partition discovery of a day-partitioned table lists folders in a Spark job; its
+    task count follows the cluster's parallelism instead of one task per folder.
+    """
+    conf = dict(REQUIRED_CONF)
+    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(
+        max(1, spark.sparkContext.defaultParallelism)
+    )
+    for k, v in conf.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked settings: leave as the cluster set them

@@ -1,9 +1,14 @@
-"""The raw table: append-only Parquet, all strings plus audit columns, partitioned by
-the UTC load day (``_load_date``), so a day's run reads one partition."""
+"""The raw table: append-only Parquet, all strings plus audit columns.
+
+Partitioned by the UTC load day (``_load_date``), so a day's run reads one partition,
+and below it by landing batch (``_batch``): every landing write fills its own batch
+partition with a dynamic partition overwrite, so replaying a batch (a stream restart
+after a crash) rewrites that batch instead of landing its rows twice."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,26 +20,33 @@ from quayside.schema import LOAD_DATE, RAW_SCHEMA
 from quayside.session import scratch_path
 from quayside.sources.fixture import fixture_raw_orders, with_load_date
 
-RAW_TABLE_SCHEMA = T.StructType(RAW_SCHEMA.fields + [T.StructField(LOAD_DATE, T.DateType(), True)])
+BATCH = "_batch"
+RAW_TABLE_SCHEMA = T.StructType(
+    RAW_SCHEMA.fields
+    + [T.StructField(LOAD_DATE, T.DateType(), True), T.StructField(BATCH, T.StringType(), True)]
+)
 
 # Rows per output file; keeps files of a large day at a sensible size.
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def append_raw(rows: DataFrame, raw_path: str) -> None:
-    """Append raw rows (19 columns) to the raw table in one write job.
+def append_raw(rows: DataFrame, raw_path: str, batch_id: str | None = None) -> str:
+    """Land raw rows (19 columns) as one batch, in one write job; returns the batch id.
 
-    No shuffle: a landing batch covers one or two load days, so each task writes a
+    A new batch id appends; a batch id written before is replaced (idempotent
+    replay). No shuffle: a batch covers one or two load days, so each task writes a
     file per day it holds. An empty batch writes nothing.
     """
-    out = rows.select(*RAW_SCHEMA.fieldNames())
+    batch_id = batch_id or uuid.uuid4().hex
+    out = with_load_date(rows.select(*RAW_SCHEMA.fieldNames())).withColumn(BATCH, F.lit(batch_id))
     (
-        with_load_date(out)
-        .write.mode("append")
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(LOAD_DATE)
+        .partitionBy(LOAD_DATE, BATCH)
         .parquet(raw_path)
     )
+    return batch_id
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
@@ -69,6 +81,7 @@ def fixture_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = [
+    "BATCH",
     "RAW_TABLE_SCHEMA",
     "append_raw",
     "read_raw",
