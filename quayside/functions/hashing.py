@@ -57,21 +57,40 @@ def _escape_char(ch: Column) -> Column:
 
 def json_string(c: Column) -> Column:
     """The JSON literal for a string column, as ``json.dumps`` (ensure_ascii) writes it."""
-    simple = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), '"', r'\\"')
+    simple = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     slow = F.array_join(F.transform(F.split(c, ""), _escape_char), "")
     body = F.when(c.rlike(_NEEDS_CHAR_ESCAPE), slow).otherwise(simple)
     return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), body, F.lit('"')))
 
 
+def _plain_json_string(c: Column) -> Column:
+    # For text of printable ASCII without quote or backslash: no escaping at all.
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
+
+
+# Any character json.dumps would escape: outside printable ASCII, a quote, a backslash.
+_ANY_ESCAPE = r'[^ -~]|["\\]'
+
+
 def json_row_hash(fields: Mapping[str, Column]) -> Column:
-    """md5 hex of ``json.dumps({name: value, ...}, sort_keys=True)`` for string values."""
-    parts: list[Column] = []
-    for i, name in enumerate(sorted(fields)):
-        key = ("" if i == 0 else ", ") + json.dumps(name) + ": "
-        parts += [F.lit(key), json_string(fields[name])]
-    if not parts:
+    """md5 hex of ``json.dumps({name: value, ...}, sort_keys=True)`` for string values.
+
+    One regex test per row decides whether any value needs escaping; only such rows
+    take the per-value escaping path.
+    """
+    names = sorted(fields)
+    if not names:
         return F.md5(F.lit("{}"))
-    return F.md5(F.concat(F.lit("{"), *parts, F.lit("}")))
+
+    def render(to_json) -> Column:
+        parts: list[Column] = []
+        for i, name in enumerate(names):
+            key = ("" if i == 0 else ", ") + json.dumps(name) + ": "
+            parts += [F.lit(key), to_json(fields[name])]
+        return F.concat(F.lit("{"), *parts, F.lit("}"))
+
+    needs_escape = F.concat_ws("", *[fields[n] for n in names]).rlike(_ANY_ESCAPE)
+    return F.md5(F.when(needs_escape, render(json_string)).otherwise(render(_plain_json_string)))
 
 
 def portable_row_hash(columns: Iterable[str]) -> Column:
