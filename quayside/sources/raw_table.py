@@ -66,11 +66,18 @@ _LANDED: dict[tuple[str, str], str] = {}
 
 
 def land_fixture(spark: SparkSession, sf_dir: str) -> str:
-    """Land the fixture's raw rows once per application; returns the raw table path."""
+    """Land the fixture's raw rows once per application; returns the raw table path.
+
+    The adapter's join output is small enough for AQE to coalesce into one task,
+    which would leave one unsplittable file per day and make every later scan of the
+    day single-task; the rows are spread over the cluster's parallelism instead, as
+    a landing of many source files would be.
+    """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _LANDED:
         path = scratch_path(spark, "fixture-raw")
-        append_raw(fixture_raw_orders(spark, sf_dir), path)
+        rows = fixture_raw_orders(spark, sf_dir).repartition(max(1, spark.sparkContext.defaultParallelism))
+        append_raw(rows, path)
         _LANDED[key] = path
     return _LANDED[key]
 
