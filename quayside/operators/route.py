@@ -78,20 +78,32 @@ def strip_trailing_comma(c: Column | str) -> Column:
     return F.regexp_replace(c, r",\s*$", "")
 
 
-def skip_already_loaded(candidates: DataFrame, gold: DataFrame | None) -> DataFrame:
+def candidate_dates(candidates: DataFrame) -> list[dt.date]:
+    """Distinct order dates of gold candidates (a calendar-bounded set, see below)."""
+    return sorted(r[0] for r in candidates.select("order_date").distinct().collect())
+
+
+def skip_already_loaded(
+    candidates: DataFrame, gold: DataFrame | None, dates: list[dt.date] | None = None
+) -> DataFrame:
     """Gold candidates whose _row_hash is not yet in gold.
 
     Equal hashes mean equal business columns, hence the same order_date, so the anti
-    join is on (order_date, _row_hash). Gold is first narrowed to the candidates'
-    order dates with a broadcast semi join: the set of distinct valid order dates is
-    bounded by the calendar (no later than the run day, four-digit years), and on a
-    date-partitioned gold the semi join prunes whole partitions. The anti join itself
-    shuffles on the near-unique hash, so it does not skew. NULL hashes never match.
+    join is on (order_date, _row_hash), and only gold partitions of the candidates'
+    order dates can hold a match. Those dates are fetched first (one column scan of
+    the staged rows): valid dates are no later than the run day and have four-digit
+    years, so the set is bounded by the calendar (a few thousand in practice) and
+    becomes a partition filter on the gold scan; gold partitions of other days are
+    never listed or read. The anti join shuffles on the near-unique hash, so it does
+    not skew. NULL hashes never match.
     """
     if gold is None:
         return candidates
-    dates = candidates.select("order_date").distinct()
-    known = gold.select("order_date", "_row_hash").join(F.broadcast(dates), "order_date", "left_semi")
+    if dates is None:
+        dates = candidate_dates(candidates)
+    if not dates:
+        return candidates
+    known = gold.where(F.col("order_date").isin(dates)).select("order_date", "_row_hash")
     return candidates.join(known, ["order_date", "_row_hash"], "left_anti")
 
 
@@ -101,5 +113,6 @@ __all__ = [
     "gold_rows",
     "quarantine_rows",
     "strip_trailing_comma",
+    "candidate_dates",
     "skip_already_loaded",
 ]

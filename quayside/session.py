@@ -39,6 +39,10 @@ def build_session(
         b = b.master(master)
     conf = dict(REQUIRED_CONF)
     conf["spark.ui.enabled"] = "false"
+    if (master or "").startswith("local"):
+        # Local disk only: skip Hadoop's .crc side files (two files per output file).
+        conf["spark.hadoop.fs.file.impl"] = "org.apache.hadoop.fs.RawLocalFileSystem"
+        conf["spark.hadoop.fs.file.impl.disable.cache"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -2,13 +2,16 @@
 
 * gold: append-only, partitioned by order_date, rows sorted by (order_date,
   store_name, category) inside each file for min/max pruning. A REBALANCE on
-  order_date lets AQE split a hot day over several tasks and merge small ones.
+  order_date puts each day in one task and lets AQE split a hot day.
 * quarantine: partitioned by the run day; a run replaces only its own day.
 * check log: partitioned by run_date; a run replaces only its own day.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -31,16 +34,39 @@ QUARANTINE_SCHEMA = T.StructType(
 )
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Temporarily change runtime SQL settings for the plans built and run inside."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def write_gold(rows: DataFrame, path: str) -> None:
-    """Append gold rows, one folder per order_date, clustered by store and category."""
-    (
-        rows.select(*GOLD_SCHEMA.fieldNames())
-        .hint("rebalance", "order_date")
-        .sortWithinPartitions(*GOLD_CLUSTER)
-        .write.mode("append")
-        .partitionBy("order_date")
-        .parquet(path)
-    )
+    """Append gold rows, one folder per order_date, clustered by store and category.
+
+    The rebalance hashes rows by order_date, so every date lands in one task (one
+    file per date) and AQE splits only a hot date over several tasks. Coalescing is
+    off for this write: merging partitions never lowers the file count here (each
+    date is in one partition either way), it only serialises the writing.
+    """
+    with session_conf(rows.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        (
+            rows.select(*GOLD_SCHEMA.fieldNames())
+            .hint("rebalance", "order_date")
+            .sortWithinPartitions(*GOLD_CLUSTER)
+            .write.mode("append")
+            .partitionBy("order_date")
+            .parquet(path)
+        )
 
 
 def write_quarantine(rows: DataFrame, path: str) -> None:
@@ -89,6 +115,7 @@ def or_empty(spark: SparkSession, df: DataFrame | None, schema: T.StructType) ->
 
 
 __all__ = [
+    "session_conf",
     "GOLD_CLUSTER",
     "QUARANTINE_SCHEMA",
     "write_gold",
