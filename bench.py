@@ -19,7 +19,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from quayside.plans.gold_run import run_gold  # noqa: E402
 from quayside.plans.queries import AS_OF, QUERIES, RUN_TS  # noqa: E402
 from quayside.session import Lakehouse, build_session  # noqa: E402
-from quayside.sources.fixture import fixture_raw_orders  # noqa: E402
 from quayside.sources.raw_table import append_raw, land_fixture, read_raw  # noqa: E402
 
 # Read-only queries executed in full; the pipeline steps are timed separately.
@@ -86,5 +85,4 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    _ = fixture_raw_orders  # the landing step's source
     main()
