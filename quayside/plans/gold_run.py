@@ -36,7 +36,7 @@ from quayside.sinks.tables import (
     write_gold,
     write_quarantine,
 )
-from quayside.sources.raw_table import raw_day, read_raw
+from quayside.sources.raw_table import raw_day, read_raw, read_raw_day
 
 
 @dataclass
@@ -81,8 +81,10 @@ def run_gold(
 ) -> GoldRunResult:
     """Run the gold pipeline for one load day (idempotent; see module docstring)."""
     day = _day(as_of)
+    # Only the run day's raw folder is listed for staging; the all-time raw count
+    # (reconciliation) reads file footers only.
+    st = stage_to_storage(spark, read_raw_day(spark, lake.raw, day), lake, day, dedupe_method)
     raw = read_raw(spark, lake.raw)
-    st = stage_to_storage(spark, raw, lake, day, dedupe_method)
 
     gold_obs, quarantine_obs, staged_obs = Observation("gold"), Observation("quarantine"), Observation("staged")
     new_gold = skip_already_loaded(gold_rows(st, run_ts), read_gold(spark, lake.gold))

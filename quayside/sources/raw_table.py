@@ -57,6 +57,24 @@ def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
         return spark.createDataFrame([], RAW_TABLE_SCHEMA)
 
 
+def read_raw_day(spark: SparkSession, raw_path: str, as_of: dt.date | str) -> DataFrame:
+    """The run day's raw rows, listing only that day's partition folder.
+
+    Equivalent to ``raw_day(read_raw(...), as_of)``, but the file index never lists the
+    other days (years of daily batch folders on a long-lived table).
+    """
+    day = as_of.isoformat() if isinstance(as_of, dt.date) else str(as_of)
+    try:
+        df = (
+            spark.read.schema(RAW_TABLE_SCHEMA)
+            .option("basePath", raw_path)
+            .parquet(f"{raw_path.rstrip('/')}/{LOAD_DATE}={day}")
+        )
+    except AnalysisException:
+        return spark.createDataFrame([], RAW_TABLE_SCHEMA)
+    return raw_day(df, day)
+
+
 def raw_day(raw: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Rows loaded on the run day: a filter on the partition column (partition pruning)."""
     return raw.where(F.col(LOAD_DATE) == as_date_lit(as_of))
@@ -93,6 +111,7 @@ __all__ = [
     "append_raw",
     "read_raw",
     "raw_day",
+    "read_raw_day",
     "land_fixture",
     "fixture_raw_table",
 ]

@@ -148,3 +148,23 @@ def test_stream_runs_gold_for_landed_day(spark):
     assert read_gold(spark, lake.gold).count() == 1
     assert read_quarantine(spark, lake.quarantine).count() == 1
     assert read_check_log(spark, lake.check_log).count() == 6
+
+
+def test_sql_views_match_dataframe_reports(spark):
+    from quayside.plans.views import REPORT_SQL, register_views, report
+
+    lake, _ = land(spark, day_rows())
+    run_gold(spark, lake, DAY, RUN_TS)
+    t = register_views(spark, lake)
+    expected = {
+        "destination_counts": reports.destination_counts(t["gold"], t["quarantine"]),
+        "quarantine_by_reason": reports.quarantine_by_reason(t["quarantine"]),
+        "check_log_history": reports.check_log_history(t["check_log"]),
+        "orders_by_store": reports.orders_by_store(t["gold"]),
+        "orders_by_product": reports.orders_by_product(t["gold"]),
+        "raw_landing_count": reports.raw_landing_count(t["raw"]),
+    }
+    for name in REPORT_SQL:
+        got = [tuple(r) for r in report(spark, name).collect()]
+        want = [tuple(r) for r in expected[name].collect()]
+        assert got == want, name
