@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.checklog import check_log, table_counts
+from quayside.operators.checklog import check_log
 from quayside.operators.checks import stage
 from quayside.operators.dedupe import ROW_ID_COLUMNS
 from quayside.operators.route import gold_rows, quarantine_rows, skip_already_loaded
@@ -94,7 +94,7 @@ def run_gold(
     write_quarantine(rejected.observe(quarantine_obs, F.count(F.lit(1)).alias("n")), lake.quarantine)
 
     gold_now = or_empty(spark, read_gold(spark, lake.gold), GOLD_SCHEMA)
-    log = check_log(st.observe(staged_obs, F.count(F.lit(1)).alias("n")), table_counts(gold_now, raw), day, run_ts, all_eight)
+    log = check_log(st.observe(staged_obs, F.count(F.lit(1)).alias("n")), gold_now, raw, day, run_ts, all_eight)
     write_check_log(log, lake.check_log)
 
     return GoldRunResult(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quayside.functions.hashing import json_row_hash, portable_row_hash
 from quayside.functions.text import normalise_product, normalise_store, null_tokens_to_null
 from quayside.operators import reports
-from quayside.operators.checklog import check_log, reconciliation_row, table_counts
+from quayside.operators.checklog import check_log
 from quayside.operators.checks import DEDUPE_ORDER, add_casts, stage
 from quayside.operators.dedupe import mark_later_rows, with_row_ids
 from quayside.operators.route import gold_rows, quarantine_rows
@@ -28,6 +28,7 @@ from quayside.schema import (
     CHECK_FLAGS,
     GOLD_COLUMNS,
     RAW_SCHEMA,
+    RECONCILIATION_CHECK,
 )
 from quayside.plans.ingest import ingest_csv
 from quayside.session import Lakehouse, scratch_path
@@ -146,24 +147,20 @@ def q_product_normalise(spark, sf_dir):
 # ---- check log --------------------------------------------------------------------------
 
 
-def _first_run_counts(spark, sf_dir, staged):
-    # Gold after a first run holds exactly the day's valid rows.
-    return table_counts(gold_rows(staged, RUN_TS), _raw(spark, sf_dir))
+# Gold right after a first run holds exactly the day's valid rows (gold=None).
 
 
 def q_check_log(spark, sf_dir):
-    st = _staged(spark, sf_dir)
-    return check_log(st, _first_run_counts(spark, sf_dir, st), AS_OF, RUN_TS)
+    return check_log(_staged(spark, sf_dir), None, _raw(spark, sf_dir), AS_OF, RUN_TS)
 
 
 def q_check_log_all_eight(spark, sf_dir):
-    st = _staged(spark, sf_dir)
-    return check_log(st, _first_run_counts(spark, sf_dir, st), AS_OF, RUN_TS, all_eight=True)
+    return check_log(_staged(spark, sf_dir), None, _raw(spark, sf_dir), AS_OF, RUN_TS, all_eight=True)
 
 
 def q_reconcile_row_counts(spark, sf_dir):
-    st = _staged(spark, sf_dir)
-    return reconciliation_row(_first_run_counts(spark, sf_dir, st), AS_OF, RUN_TS)
+    log = check_log(_staged(spark, sf_dir), None, _raw(spark, sf_dir), AS_OF, RUN_TS)
+    return log.where(F.col("check_name") == RECONCILIATION_CHECK)
 
 
 # ---- reports ----------------------------------------------------------------------------
