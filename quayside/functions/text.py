@@ -6,8 +6,6 @@ whole-stage code generation (or, for the title-case slow path, inside the JVM).
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -109,11 +107,6 @@ def normalise_product(c: Column | str) -> Column:
     return initcap_words(ws_trim(c))
 
 
-def sql_char_class_literal(chars: str) -> str:
-    """The characters as a SQL string literal body (quotes doubled)."""
-    return chars.replace("'", "''")
-
-
 __all__ = [
     "WHITESPACE",
     "INITCAP_PUNCTUATION",
@@ -124,8 +117,4 @@ __all__ = [
     "initcap_words",
     "normalise_store",
     "normalise_product",
-    "sql_char_class_literal",
 ]
-
-# Sanity: the delimiter classes compile as Python regexes too (same escaping rules).
-re.compile(_DELIMITER_CLASS)
