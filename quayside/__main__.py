@@ -1,7 +1,7 @@
 """Command line: the scheduled and event-driven runs as commands.
 
     python -m quayside ingest   --lake ROOT --landing DIR [--loaded-at TS] [--batch-id ID]
-    python -m quayside stream   --lake ROOT --landing DIR --checkpoint DIR [--gold]
+    python -m quayside stream   --lake ROOT --landing DIR --checkpoint DIR [--gold] [--processing-time T]
     python -m quayside run-gold --lake ROOT --as-of YYYY-MM-DD [--run-ts TS] [--all-eight]
     python -m quayside report   --lake ROOT NAME   (destination_counts, quarantine_by_reason, ...)
 
@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--landing", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--gold", action="store_true", help="run gold for every load day a batch touched")
+    p.add_argument("--processing-time", default=None, help="run continuously with this trigger, e.g. '5 minutes'")
+    p.add_argument("--max-files-per-trigger", type=int, default=None)
 
     p = sub.add_parser("run-gold", help="stage one load day; write gold, quarantine, check log")
     p.add_argument("--lake", required=True)
@@ -68,7 +70,16 @@ def main(argv: list[str] | None = None) -> int:
             "load_dates": [d.isoformat() for d in res.load_dates],
         }
     elif args.cmd == "stream":
-        q = start_ingest_stream(spark, args.landing, lake, args.checkpoint, run_gold_after=args.gold)
+        q = start_ingest_stream(
+            spark,
+            args.landing,
+            lake,
+            args.checkpoint,
+            available_now=args.processing_time is None,
+            processing_time=args.processing_time,
+            run_gold_after=args.gold,
+            max_files_per_trigger=args.max_files_per_trigger,
+        )
         q.awaitTermination()
         out = {"last_progress": q.lastProgress}
     elif args.cmd == "run-gold":
