@@ -240,6 +240,17 @@ def quarantine_select(src: str, run_ts: str) -> str:
   FROM {src} WHERE NOT is_valid"""
 
 
+CHECK_FLAG_NAMES = (
+    "missing_order_id",
+    "duplicate_order_id",
+    "invalid_order_date",
+    "future_order_date",
+    "ship_before_order_date",
+    "zero_revenue_with_qty",
+    "missing_store_name",
+    "missing_order_date_string",
+)
+
 LOGGED = (
     ("no_duplicate_order_ids", "duplicate_order_id"),
     ("no_future_order_dates", "future_order_date"),
@@ -307,10 +318,7 @@ def build() -> dict[str, str]:
     s["dedupe_rank"] = (
         f"{base} SELECT order_id, _loaded_at, _source_file, _row_hash, _rn > 1 AS duplicate_order_id FROM d_numbered"
     )
-    flags = ", ".join(f for f, _ in (
-        ("missing_order_id", 0), ("duplicate_order_id", 0), ("invalid_order_date", 0), ("future_order_date", 0),
-        ("ship_before_order_date", 0), ("zero_revenue_with_qty", 0), ("missing_store_name", 0),
-        ("missing_order_date_string", 0)))
+    flags = ", ".join(CHECK_FLAG_NAMES)
     s["row_checks"] = f"{base} SELECT order_id, _row_hash, {flags} FROM d_staged"
     s["failure_reasons"] = f"{base} SELECT order_id, _row_hash, failure_reasons, is_valid FROM d_staged"
     s["gold_orders"] = f"{base} {gold_select('d_staged', RUN_TS)}"
