@@ -63,10 +63,15 @@ def add_checks(df: DataFrame, as_of: dt.date | str) -> DataFrame:
 
 
 def stage(raw_day: DataFrame, as_of: dt.date | str, dedupe_method: str = "aggregate") -> DataFrame:
-    """A day's raw rows, typed, numbered and checked (one row out per row in)."""
-    typed = add_casts(with_row_ids(raw_day))
-    numbered = mark_later_rows(typed, "order_id", DEDUPE_ORDER, "duplicate_order_id", method=dedupe_method)
-    return add_checks(numbered, as_of)
+    """A day's raw rows, numbered, typed and checked (one row out per row in).
+
+    Numbering comes first so the row-id join moves only the raw columns; the casts
+    are computed after it (numbering never depends on them).
+    """
+    numbered = mark_later_rows(
+        with_row_ids(raw_day), "order_id", DEDUPE_ORDER, "duplicate_order_id", method=dedupe_method
+    )
+    return add_checks(add_casts(numbered), as_of)
 
 
 __all__ = ["DEDUPE_ORDER", "add_casts", "check_conditions", "add_checks", "stage", "as_date_lit"]
