@@ -350,6 +350,12 @@ def build() -> dict[str, str]:
         f"{with_(FIXTURE_BASE, day, quar_cte)} SELECT _failure_reason, CAST(count(*) AS BIGINT) AS rejected_rows "
         f"FROM quarantine GROUP BY _failure_reason ORDER BY rejected_rows DESC, _failure_reason"
     )
+    codes = ", ".join(
+        f"CAST(count_if(contains(_failure_reason, '{c}')) AS BIGINT) AS {c.lower()}"
+        for c in ("MISSING_ORDER_ID", "DUPLICATE_ORDER_ID", "INVALID_ORDER_DATE", "FUTURE_ORDER_DATE",
+                  "SHIP_BEFORE_ORDER_DATE", "ZERO_REVENUE_WITH_QTY", "MISSING_STORE_NAME", "MISSING_ORDER_DATE_STRING")
+    )
+    s["quarantine_reason_codes"] = f"{with_(FIXTURE_BASE, day, quar_cte)} SELECT {codes} FROM quarantine"
     s["orders_by_store"] = (
         f"{with_(FIXTURE_BASE, day, gold_cte)} SELECT store_name, CAST(count(*) AS BIGINT) AS orders "
         f"FROM gold GROUP BY store_name ORDER BY orders DESC, store_name"

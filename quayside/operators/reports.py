@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quayside.functions.casts import safe_date, safe_double
 from quayside.functions.text import ws_trim
 from quayside.operators.checks import as_date_lit
-from quayside.schema import BUSINESS_COLUMNS
+from quayside.schema import BUSINESS_COLUMNS, REASON_CODES
 
 # Destination labels of the row-split report.
 GOLD_LABEL, QUARANTINE_LABEL = "gold", "quarantine"
@@ -38,6 +38,18 @@ def quarantine_by_reason(quarantine: DataFrame) -> DataFrame:
     )
 
 
+def rejects_by_code(quarantine: DataFrame) -> DataFrame:
+    """Quarantined rows whose reason text contains each code (one aggregate, one row).
+
+    The reason-text form of the per-check counts (a LIKE '%CODE%' per check); codes
+    are matched as plain substrings, so '_' in a code is not a wildcard.
+    """
+    reason = F.col("_failure_reason")
+    return quarantine.agg(
+        *[F.count_if(reason.contains(code)).alias(code.lower()) for _, code in REASON_CODES]
+    )
+
+
 def check_log_history(log: DataFrame) -> DataFrame:
     """The check log, newest day first, then by check name (Q3)."""
     return log.select("run_date", "check_name", "status", "total_rows", "failing_rows", "pct_failed").orderBy(
@@ -78,7 +90,7 @@ def raw_profile(raw: DataFrame, as_of: dt.date | str) -> DataFrame:
         (
             F.count(F.lit(1))
             - F.count_distinct("order_id")
-            - F.max(F.col("order_id").isNull().cast("int")).cast("bigint")
+            - F.coalesce(F.max(F.col("order_id").isNull().cast("int")), F.lit(0)).cast("bigint")
         ).alias("duplicate_order_ids"),
         F.count_if(od > as_date_lit(as_of)).alias("future_order_dates"),
         F.count_if(rev == 0).alias("zero_revenue"),
@@ -100,6 +112,7 @@ __all__ = [
     "QUARANTINE_LABEL",
     "destination_counts",
     "quarantine_by_reason",
+    "rejects_by_code",
     "check_log_history",
     "orders_by_store",
     "orders_by_product",

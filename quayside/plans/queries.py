@@ -175,6 +175,10 @@ def q_quarantine_by_reason(spark, sf_dir):
     return reports.quarantine_by_reason(quarantine_rows(_staged(spark, sf_dir), RUN_TS))
 
 
+def q_quarantine_reason_codes(spark, sf_dir):
+    return reports.rejects_by_code(quarantine_rows(_staged(spark, sf_dir), RUN_TS))
+
+
 def q_orders_by_store(spark, sf_dir):
     return reports.orders_by_store(gold_rows(_staged(spark, sf_dir), RUN_TS))
 
@@ -321,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "check_log_all_eight": q_check_log_all_eight,
     "destination_counts": q_destination_counts,
     "quarantine_by_reason": q_quarantine_by_reason,
+    "quarantine_reason_codes": q_quarantine_reason_codes,
     "check_log_history": q_check_log_history,
     "orders_by_store": q_orders_by_store,
     "orders_by_product": q_orders_by_product,

@@ -168,3 +168,16 @@ def test_sql_views_match_dataframe_reports(spark):
         got = [tuple(r) for r in report(spark, name).collect()]
         want = [tuple(r) for r in expected[name].collect()]
         assert got == want, name
+
+
+def test_reason_text_counts_agree_with_check_log(spark):
+    from quayside.schema import LOGGED_CHECKS, REASON_CODES
+
+    lake, _ = land(spark, day_rows() + [raw_row(order_id=None, store_name=" ", row_hash="hz")])
+    run_gold(spark, lake, DAY, RUN_TS)
+    by_code = reports.rejects_by_code(read_quarantine(spark, lake.quarantine)).first().asDict()
+    code_of = dict(REASON_CODES)
+    log = {r["check_name"]: r["failing_rows"] for r in read_check_log(spark, lake.check_log).collect()}
+    for name, flag in LOGGED_CHECKS:
+        assert log[name] == by_code[code_of[flag].lower()], name
+    assert by_code["missing_order_id"] == 1
