@@ -63,10 +63,9 @@ def mark_later_rows(
     if method != "aggregate":
         raise ValueError(f"unknown method {method!r}")
 
-    k = F.coalesce(F.col(key), F.lit(""))
-    k_null = F.col(key).isNull()
+    # GROUP BY keeps all NULL keys in one group, as a window partition does.
     firsts = (
-        df.groupBy(k.alias("_dk"), k_null.alias("_dk_null"))
+        df.groupBy(key)
         .agg(F.min(F.struct(*order_by, *ROW_ID_COLUMNS)).alias("_first"))
         .select(*[F.col(f"_first.{c}").alias(c) for c in ROW_ID_COLUMNS], F.lit(True).alias("_is_first"))
     )
