@@ -80,7 +80,11 @@ def write_quarantine(rows: DataFrame, path: str) -> None:
 
 
 def write_check_log(rows: DataFrame, path: str) -> None:
-    """Replace the run day's check-log rows (other days untouched)."""
+    """Replace the run day's check-log rows (other days untouched).
+
+    A run's log is at most nine rows (eight checks + reconciliation), so it is
+    written as one file.
+    """
     (
         rows.coalesce(1)
         .write.mode("overwrite")
