@@ -7,8 +7,10 @@ tests) is a temporary folder created and registered.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -91,6 +93,33 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([base, *parts])
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers (once per application).
+
+    Only the CSV header helper runs Python inside tasks; its function is pickled by
+    reference, so workers must be able to import ``quayside``. The package is zipped
+    on the driver and distributed with ``SparkContext.addPyFile`` (harmless where it
+    is already installed on the cluster image or passed with --py-files).
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    zip_path = os.path.join(tempfile.mkdtemp(prefix="quayside-pyfiles-"), "quayside.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.join("quayside", os.path.relpath(full, pkg_dir)))
+    spark.sparkContext.addPyFile(zip_path)
+    _SHIPPED.add(app)
+
+
 @dataclass(frozen=True)
 class Lakehouse:
     """Locations of the four pipeline tables under one root."""
@@ -137,6 +166,7 @@ __all__ = [
     "apply_session_conf",
     "checkpoint_root",
     "scratch_path",
+    "ship_package",
     "Lakehouse",
     "local_path",
 ]
