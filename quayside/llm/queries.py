@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import ball_tree, packing, quartile_digest, repair_ids, sentencepiece_codec, url_filter
+from quayside.llm import (
+    ball_tree,
+    ngram_join,
+    packing,
+    quality_crf,
+    quartile_digest,
+    repair_ids,
+    sentencepiece_codec,
+    toxicity_wfst,
+    url_filter,
+    warc_derive,
+)
 from quayside.session import scratch_path
 
 
@@ -34,6 +45,26 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(_table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per derived record: its links, digests and length, and the digest of its whole bytes."""
+    derived = warc_derive.derive(warc_derive.response_records(_table(spark, sf_dir, "pages")))
+    return derived.select(
+        "page_id",
+        "kind",
+        "record_id",
+        "refers_to",
+        "target_uri",
+        "block_digest",
+        "payload_digest",
+        "content_length",
+        F.sha2(F.col("record").cast("binary"), 256).alias("record_sha256"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return pieces.select(
@@ -48,6 +79,20 @@ def op6_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality_crf.score(docs, quality_crf.train(docs, _table(spark, sf_dir, "labels")))
+    held_out = quality_crf.in_fold(F.col("doc_id"), 5, 0)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op8_toxicity_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity_wfst.score(docs, toxicity_wfst.train(docs, _table(spark, sf_dir, "labels")))
+    held_out = quality_crf.in_fold(F.col("doc_id"), 3, 1)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = quartile_digest.edited_pairs(_table(spark, sf_dir, "documents"))
     return pairs.select(
@@ -98,7 +143,21 @@ SELECT page_id, host, path, rule, coalesce(v, CASE WHEN l.canonical IS NOT NULL
 FROM urls LEFT JOIN hits USING (rid) LEFT JOIN listed l ON urls.canonical = l.canonical
 """
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_exact_top_k, op5_packing, op6_repair_ids, op9_quartile_digest, op10_url_filter)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_sentencepiece,
+        op2_exact_top_k,
+        op3_ngram_join,
+        op4_warc_derivatives,
+        op5_packing,
+        op6_repair_ids,
+        op7_quality_crf,
+        op8_toxicity_wfst,
+        op9_quartile_digest,
+        op10_url_filter,
+    )
+}
 
 _OP2_SQL = """
 WITH v AS (SELECT vec_id, [CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT) FOR c IN embedding] AS q FROM embeddings
