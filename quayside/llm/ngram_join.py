@@ -119,63 +119,103 @@ def size_buckets(percent: int, limit: int = 1 << 31) -> list[int]:
     return out
 
 
-def part_blocks(hashes: np.ndarray, offsets: np.ndarray, marks: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
-    """(part, block) of sets: the n-grams of each hash range in order, with the set that each belongs to.
+def _planes(*arrays: np.ndarray) -> bytes:
+    """Numbers as byte planes, compressed: planes of zeros cost nothing."""
+    raw = [x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in arrays]
+    head = np.array([len(arrays), *map(len, arrays)], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(raw))
+
+
+def _from_planes(block: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(block)
+    k = int(np.frombuffer(raw, "<u4", 1)[0])
+    at, out = 4 + 4 * k, []
+    for n in np.frombuffer(raw, "<u4", k, 4).tolist():
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, at).reshape(8, n).T).view("<u8").ravel())
+        at += 8 * n
+    return out
 
-    marks: the digest of each set; of equal sets one is taken.
-    """
+
+def _ranges(values: np.ndarray, parts: int) -> np.ndarray:
+    """Places where each of so many equal ranges of sorted GRAM_BITS numbers begins, and the end."""
+    number = (values >> _U(24)) * _U(parts) >> _U(GRAM_BITS - 24)
+    return np.searchsorted(number, np.arange(parts + 1, dtype=np.uint64))
+
+
+def part_blocks(hashes: np.ndarray, offsets: np.ndarray, marks: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
+    """(part, block) of sets: the n-grams of each hash range in order, with the set that each belongs to, and
+    the sets' digests and sizes. marks: the digest of each set; of equal sets one is taken."""
     _, first = np.unique(marks, return_index=True)
     taken = np.zeros(len(marks), bool)
     taken[first] = True
-    of = np.repeat(np.arange(len(marks), dtype=np.uint32), np.diff(offsets))
+    sizes = np.diff(offsets)
+    of = np.repeat(np.arange(len(marks)), sizes)
     mine = taken[of]
     grams, of = hashes[mine] >> _U(64 - GRAM_BITS), of[mine]
     order = np.argsort(grams, kind="stable")
     grams, of = grams[order], of[order]
-    bounds = np.searchsorted((grams >> _U(24)) * _U(parts) >> _U(GRAM_BITS - 24), np.arange(parts + 1, dtype=np.uint64))
-    squeeze = zstandard.ZstdCompressor(level=1)
-    for part, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+    bounds = _ranges(grams, parts).tolist()
+    for part, (a, b) in enumerate(zip(bounds, bounds[1:])):
         if a < b:
             used, place = np.unique(of[a:b], return_inverse=True)
-            planes = grams[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : GRAM_BITS // 8].T
-            places = place.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T
-            head = np.array([b - a, len(used)], "<u4").tobytes()
-            yield part, squeeze.compress(head + marks[used].tobytes() + planes.tobytes() + places.tobytes())
+            steps = np.diff(grams[a:b], prepend=_U(0))
+            yield part, _planes(marks[used].view(np.uint64), sizes[used], steps, place)
 
 
-def read_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams, digest of the set of each) of a block."""
-    raw = zstandard.ZstdDecompressor().decompress(block)
-    n, sets = np.frombuffer(raw, "<u4", 2)
-    marks = np.frombuffer(raw, "<i8", sets, 8)
-    at, width = 8 + 8 * int(sets), GRAM_BITS // 8
-    grams, place = np.zeros((n, 8), np.uint8), np.zeros((n, 4), np.uint8)
-    grams[:, :width] = np.frombuffer(raw, np.uint8, width * n, at).reshape(width, n).T
-    place[:, :3] = np.frombuffer(raw, np.uint8, 3 * n, at + width * n).reshape(3, n).T
-    return grams.view("<u8").ravel(), marks[place.view("<u4").ravel()]
+def read_part(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n-grams, digest of the set of each, size of the set of each) of a part's blocks."""
+    out = []
+    for block in blocks:
+        marks, sizes, steps, place = _from_planes(block)
+        place = place.astype(np.int64)
+        out.append((np.cumsum(steps, dtype=np.uint64), marks[place], sizes[place]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def shared_grams(grams: np.ndarray, marks: np.ndarray):
-    """Of one part: (digests, offsets, n-grams, counts), each set's n-grams that another set holds, too."""
+def shared_blocks(grams: np.ndarray, marks: np.ndarray, sizes: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket of sets, block) of a part: the sets' n-grams that other sets hold, too, with the number of those sets."""
     order = np.argsort(grams, kind="stable")
-    grams, marks = grams[order], marks[order]
+    grams, marks, sizes = grams[order], marks[order], sizes[order]
     again = np.zeros(len(grams), bool)
     same = grams[1:] == grams[:-1]
     again[1:] |= same
     again[:-1] |= same
-    grams, marks = grams[again], marks[again]
+    grams, marks, sizes = grams[again], marks[again], sizes[again]
     order = np.lexsort((marks, grams))
-    grams, marks = grams[order], marks[order]
+    grams, marks, sizes = grams[order], marks[order], sizes[order]
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (marks[1:] != marks[:-1])
-    grams, marks = grams[new], marks[new]
+    grams, marks, sizes = grams[new], marks[new], sizes[new]
     start = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])[: len(grams)])
-    count = np.repeat(np.diff(np.append(start, len(grams))), np.diff(np.append(start, len(grams))))
-    grams, marks, count = grams[count > 1], marks[count > 1], count[count > 1]
+    runs = np.diff(np.append(start, len(grams)))
+    counts = np.repeat(runs, runs)
     order = np.argsort(marks, kind="stable")
-    grams, marks, count = grams[order], marks[order], count[order]
+    order = order[counts[order] > 1]
+    grams, marks, sizes, counts = grams[order], marks[order], sizes[order], counts[order]
+    bounds = _ranges(marks >> _U(64 - GRAM_BITS), buckets).tolist()
+    for bucket, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        if a < b:
+            first = np.flatnonzero(np.append(True, marks[a + 1 : b] != marks[a : b - 1]))
+            each = np.diff(np.append(first, b - a))
+            yield bucket, _planes(marks[a:b][first], sizes[a:b][first], each, grams[a:b], counts[a:b])
+
+
+def choose_prefixes(blocks: list[bytes], percent: int) -> tuple[list[int], list[np.ndarray]]:
+    """(digests, prefixes) of a bucket's sets that hold enough shared n-grams to link: those of the first
+    n - ceil(percent * n / 100) + 1 n-grams of the order that are shared."""
+    read = [_from_planes(b) for b in blocks]
+    marks = np.concatenate([np.repeat(m, e.astype(np.int64)) for m, _, e, _, _ in read])
+    sizes = np.concatenate([np.repeat(z, e.astype(np.int64)) for _, z, e, _, _ in read]).astype(np.int64)
+    grams, counts = np.concatenate([r[3] for r in read]), np.concatenate([r[4] for r in read])
+    order = np.lexsort((grams, counts, marks))
+    marks, sizes, grams = marks[order], sizes[order], grams[order].astype(np.int64)
     start = np.flatnonzero(np.append(True, marks[1:] != marks[:-1])[: len(marks)])
-    return marks[start], np.append(start, len(marks)), grams, count
+    held = np.diff(np.append(start, len(marks)))
+    need = (sizes[start] * percent + 99) // 100
+    chosen = np.flatnonzero(held >= need)
+    first = (held - need + 1)[chosen].tolist()
+    at = start[chosen].tolist()
+    return marks[start[chosen]].view(np.int64), [grams[a : a + k] for a, k in zip(at, first)]
 
 
 def _segment_digest(hashes: np.ndarray, offsets: np.ndarray, odd: np.uint64) -> np.ndarray:
@@ -323,42 +363,19 @@ def _prefixes(texts: DataFrame, classes: DataFrame, n: int, percent: int) -> Dat
             )
 
     def count(part: pa.Table) -> pa.Table:
-        read = [read_block(b) for b in part["block"].to_pylist()]
-        marks, at, grams, counts = shared_grams(np.concatenate([g for g, _ in read]), np.concatenate([m for _, m in read]))
-
-        def binary(flat: np.ndarray) -> pa.Array:
-            offsets = (at * flat.itemsize).astype(np.int64)
-            return pa.Array.from_buffers(pa.large_binary(), len(marks), [None, pa.py_buffer(offsets), pa.py_buffer(flat)]).cast(pa.binary())
+        rows = list(shared_blocks(*read_part(part["block"].to_pylist()), parts))
+        return pa.table({"bucket": pa.array([k for k, _ in rows], pa.int32()), "block": pa.array([b for _, b in rows], pa.binary())})
 
-        return pa.table(
-            {"d1": marks, "c": np.diff(at), "grams": binary(grams.astype("<u8")), "counts": binary(counts.astype("<u4"))}
-        )
+    def choose(bucket: pa.Table) -> pa.Table:
+        marks, prefixes = choose_prefixes(bucket["block"].to_pylist(), percent)
+        return pa.table({"mark": marks, "prefix": pa.array(prefixes, pa.list_(pa.int64()))})
 
-    where = scratch_path(spark, "ngram-shared")
+    where = scratch_path(spark, "ngram-prefixes")
     texts.where("doc_id is not null").select("text").mapInArrow(blocks, "part int, block binary").groupBy("part").applyInArrow(
-        count, "d1 long, c long, grams binary, counts binary"
-    ).write.parquet(where)
-    shared = spark.read.parquet(where)
-
-    need = F.expr(f"(n_shingles * {percent} + 99) div 100")
-    held = shared.groupBy("d1").agg(F.sum("c").alias("held")).join(classes, "d1")
-    where = scratch_path(spark, "ngram-candidates")
-    held.where(F.col("held") >= need).select("d1", "rep", (F.col("held") - need + 1).alias("first")).write.parquet(where)
+        count, "bucket int, block binary"
+    ).groupBy("bucket").applyInArrow(choose, "mark long, prefix array<long>").write.parquet(where)
     chosen = spark.read.parquet(where)
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prefix = []
-            for first, pieces in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                grams = np.concatenate([np.frombuffer(x["grams"], "<u8") for x in pieces])
-                counts = np.concatenate([np.frombuffer(x["counts"], "<u4") for x in pieces])
-                prefix.append(grams[np.lexsort((grams, counts))[:first]].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prefix, pa.list_(pa.int64()))], ["rep", "prefix"])
-
-    pieces = shared.join(chosen, "d1").groupBy("rep", "d1", "first").agg(F.collect_list(F.struct("grams", "counts")).alias("pieces"))
-    where = scratch_path(spark, "ngram-prefixes")
-    pieces.select("rep", "first", "pieces").mapInArrow(choose, "rep long, prefix array<long>").write.parquet(where)
-    return spark.read.parquet(where)
+    return chosen.join(classes, chosen["mark"] == classes["d1"]).select("rep", "prefix")
 
 
 def keep_first(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
