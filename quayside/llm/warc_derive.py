@@ -47,7 +47,7 @@ _LINE = re.compile(
     r"|section|table|tbody|td|tfoot|th|thead|title|tr|ul|body|html)\b[^>]*>"
 )
 _TAG = re.compile(r"</?[a-zA-Z][^>]*>")
-_BLANKS = re.compile(r"[^\S\n]+")
+_BLANKS = re.compile(r"[^\S\n]{2,}|[^\S\n ]")
 _LINES = re.compile(r" ?\n\s*")
 RECORDS = (
     "page_id long, kind string, record_id string, refers_to string, target_uri string, block_digest string,"
@@ -107,16 +107,17 @@ def response(page_id, url: str, page: str, date: str = WARC_DATE) -> tuple:
     body = page.encode()
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(body) + body
     own, target = record_id(f"response {page_id} {url}"), _uri(url)
+    whole, payload = digest(block), digest(body)
     headers = [
         ("WARC-Type", "response"),
         ("WARC-Record-ID", own),
         ("WARC-Target-URI", target),
         ("WARC-Date", date),
-        ("WARC-Block-Digest", digest(block)),
-        ("WARC-Payload-Digest", digest(body)),
+        ("WARC-Block-Digest", whole),
+        ("WARC-Payload-Digest", payload),
         ("Content-Type", "application/http; msgtype=response"),
     ]
-    return (page_id, "response", own, None, target, digest(block), digest(body), len(block), record(headers, block))
+    return (page_id, "response", own, None, target, whole, payload, len(block), record(headers, block))
 
 
 def derivatives(page_id, text: str) -> list[tuple]:
@@ -125,10 +126,11 @@ def derivatives(page_id, text: str) -> list[tuple]:
     known = dict(source)
     status, fields, body = parse_http(block)
     refers, target, date = known["WARC-Record-ID"], known.get("WARC-Target-URI", ""), known.get("WARC-Date", WARC_DATE)
-    payload = known.get("WARC-Payload-Digest") or digest(body)
-    if known.get("WARC-Block-Digest", digest(block)) != digest(block) or payload != digest(body):
+    whole, payload = digest(block), digest(body)
+    if known.get("WARC-Block-Digest", whole) != whole or known.get("WARC-Payload-Digest", payload) != payload:
         raise ValueError(f"a digest of {refers} does not fit its bytes")
     converted = plain_text(body.decode("utf-8", "replace")).encode()
+    text_digest = digest(converted)
     ids = {kind: record_id(f"{kind} {refers}") for kind in ("conversion", "metadata")}
     notes = [
         ("http-status", status),
@@ -136,12 +138,15 @@ def derivatives(page_id, text: str) -> list[tuple]:
         *((f"source-{k.lower()}", v) for k, v in source),
         ("payload-digest", payload),
         ("conversion-record-id", ids["conversion"]),
-        ("conversion-block-digest", digest(converted)),
+        ("conversion-block-digest", text_digest),
         ("conversion-length", str(len(converted))),
     ]
     about = "".join(f"{k}: {v}\r\n" for k, v in notes).encode()
     rows = []
-    for kind, content, mime in (("conversion", converted, "text/plain; charset=utf-8"), ("metadata", about, "application/warc-fields")):
+    for kind, content, own_digest, mime in (
+        ("conversion", converted, text_digest, "text/plain; charset=utf-8"),
+        ("metadata", about, digest(about), "application/warc-fields"),
+    ):
         headers = [
             ("WARC-Type", kind),
             ("WARC-Record-ID", ids[kind]),
@@ -150,10 +155,10 @@ def derivatives(page_id, text: str) -> list[tuple]:
             ("WARC-Refers-To-Date", date),
             ("WARC-Target-URI", target),
             ("WARC-Date", date),
-            ("WARC-Block-Digest", digest(content)),
+            ("WARC-Block-Digest", own_digest),
             ("Content-Type", mime),
         ]
-        rows.append((page_id, kind, ids[kind], refers, target, digest(content), payload, len(content), record(headers, content)))
+        rows.append((page_id, kind, ids[kind], refers, target, own_digest, payload, len(content), record(headers, content)))
     return rows
 
 
