@@ -45,7 +45,7 @@ N = 3
 PERCENT = 90
 #: N-grams of a part of the order; bits of a hash that tell n-grams apart there (taking two for one costs
 #: a candidate, and loses none).
-PART_GRAMS = 2_000_000
+PART_GRAMS = 3_000_000
 GRAM_BITS = 48
 BLOCK_DOCS = 512
 BLOCK_TOKENS = 400_000
@@ -355,7 +355,7 @@ def _prefixes(texts: DataFrame, classes: DataFrame, n: int, percent: int) -> Dat
     parts = int(max(1, -(-total // PART_GRAMS)))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             hashes, off = shingle_sets(*text_buffer(batch.column(0)), n)
             rows = list(part_blocks(hashes, off, _segment_digest(hashes, off, _ODD[10]), parts))
             yield pa.RecordBatch.from_arrays(
