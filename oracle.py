@@ -433,6 +433,21 @@ FROM raw"""
         f"{with_(FIXTURE_BASE, n_cte, landed)} SELECT {sel16}, _row_hash, _source_file AS source_group FROM csvraw"
     )
     s["stream_ingest"] = s["csv_roundtrip"]
+    s["stream_late_file"] = s["csv_roundtrip"]
+    in_file = "count(*) AS n FROM raw WHERE _source_file ="
+    s["landing_rejects"] = (
+        f"{with_(FIXTURE_BASE)} SELECT 'a' AS source_group, 'landed' AS outcome, {in_file} 'orders_2001-05-31.csv' "
+        f"UNION ALL SELECT 'b', 'landed', {in_file} 'orders_2001-06-01a.csv' "
+        f"UNION ALL SELECT 'c', 'unknown columns: [''coupon'']', CAST(least(count(*), 1) AS BIGINT) AS n "
+        f"FROM raw WHERE _source_file = 'orders_2001-06-01b.csv'"
+    )
+    s["batch_replace"] = (
+        f"{with_(FIXTURE_BASE)} SELECT {', '.join(BUSINESS_COLUMNS)}, _row_hash, '2001-07-01' AS load_day "
+        f"FROM raw WHERE _source_file = 'orders_2001-05-31.csv'"
+    )
+    s["quarantine_written"] = (
+        f"SELECT {', '.join(BUSINESS_COLUMNS)}, _row_hash, _failure_reason FROM ({s['quarantine_orders']})"
+    )
 
     streamed = csv_rows(f"{PREV_DAY} 07:00:00", f"{AS_OF} 07:00:00")
     prev_c = staged_ctes("csvraw", PREV_DAY, "p")

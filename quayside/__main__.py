@@ -20,6 +20,7 @@ from quayside.plans.gold_run import run_gold
 from quayside.plans.ingest import ingest_csv
 from quayside.plans.views import REPORT_SQL, register_views, report
 from quayside.session import Lakehouse, build_session
+from quayside.sources.raw_table import read_rejects
 from quayside.streaming.ingest_stream import start_ingest_stream
 
 
@@ -55,13 +56,14 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("report", help="print a verification report")
     p.add_argument("--lake", required=True)
     p.add_argument("name", choices=sorted(REPORT_SQL))
+    p.add_argument("--out", default=None, help="write the report there (JSON lines) instead of printing it")
 
     args = ap.parse_args(argv)
     spark = build_session(app_name=f"quayside-{args.cmd}")
     lake = Lakehouse(args.lake.rstrip("/"))
 
     if args.cmd == "ingest":
-        res = ingest_csv(spark, args.landing, lake.raw, args.loaded_at, batch_id=args.batch_id, strict=args.strict)
+        res = ingest_csv(spark, args.landing, lake.raw, args.loaded_at, batch_id=args.batch_id, strict=args.strict, rejects_path=lake.landing_rejects)
         out = {
             "batch_id": res.batch_id,
             "files": len(res.files),
@@ -81,7 +83,8 @@ def main(argv: list[str] | None = None) -> int:
             max_files_per_trigger=args.max_files_per_trigger,
         )
         q.awaitTermination()
-        out = {"last_progress": q.lastProgress}
+        rejects = read_rejects(spark, lake.landing_rejects)
+        out = {"last_progress": q.lastProgress, "rejected_files": rejects.count(), "rejects_table": lake.landing_rejects}
     elif args.cmd == "run-gold":
         res = run_gold(spark, lake, args.as_of, args.run_ts or _now(), all_eight=args.all_eight)
         out = {
@@ -92,7 +95,12 @@ def main(argv: list[str] | None = None) -> int:
         }
     else:
         register_views(spark, lake)
-        report(spark, args.name).show(1000, truncate=False)
+        rows = report(spark, args.name)
+        if args.out:
+            rows.write.mode("overwrite").json(args.out)
+        else:
+            for row in rows.toLocalIterator():  # every row, a partition at a time
+                print(json.dumps(row.asDict(), default=str))
         out = None
 
     if out is not None:

@@ -24,7 +24,7 @@ from quayside.schema import (
     LOGGED_CHECKS,
     PASS,
     RECONCILIATION_CHECK,
-    RECONCILIATION_TOLERANCE_TENTHS,
+    RECONCILIATION_TOLERANCE,
 )
 
 
@@ -42,57 +42,6 @@ def checks_for(all_eight: bool) -> tuple[tuple[str, str], ...]:
     return LOGGED_CHECKS + (EXTRA_CHECKS if all_eight else ())
 
 
-def check_rows(
-    staged: DataFrame,
-    as_of: dt.date | str,
-    run_ts: dt.datetime | str,
-    all_eight: bool = False,
-) -> DataFrame:
-    """Per-check rows: failing count, day total, PASS/FAIL, percent (one pass)."""
-    checks = checks_for(all_eight)
-    agg = staged.agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[F.count_if(F.col(flag)).alias(f"_n{i}") for i, (_, flag) in enumerate(checks)],
-    )
-    pairs = ", ".join(f"'{name}', _n{i}" for i, (name, _) in enumerate(checks))
-    long = agg.select("_total", F.expr(f"stack({len(checks)}, {pairs}) AS (check_name, failing_rows)"))
-    return long.select(
-        as_date_lit(as_of).alias("run_date"),
-        "check_name",
-        F.when(F.col("failing_rows") == 0, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
-        F.col("_total").cast("bigint").alias("total_rows"),
-        F.col("failing_rows").cast("bigint").alias("failing_rows"),
-        round_pct("failing_rows", "_total").alias("pct_failed"),
-        ts_lit(run_ts).alias("checked_at"),
-    )
-
-
-def table_counts(gold: DataFrame, raw: DataFrame) -> DataFrame:
-    """One row (gold_rows, raw_rows) from a single aggregate over both tables (no join)."""
-    tagged = gold.select(F.lit(1).alias("_g"), F.lit(0).alias("_r")).unionByName(
-        raw.select(F.lit(0).alias("_g"), F.lit(1).alias("_r"))
-    )
-    return tagged.agg(
-        F.coalesce(F.sum("_g"), F.lit(0)).cast("bigint").alias("gold_rows"),
-        F.coalesce(F.sum("_r"), F.lit(0)).cast("bigint").alias("raw_rows"),
-    )
-
-
-def reconciliation_row(counts: DataFrame, as_of: dt.date | str, run_ts: dt.datetime | str) -> DataFrame:
-    """|gold - raw| / raw < 0.10 over all time; an empty raw table gives FAIL."""
-    diff = F.abs(F.col("gold_rows") - F.col("raw_rows"))
-    ok = (F.col("raw_rows") > 0) & (diff * (10 // RECONCILIATION_TOLERANCE_TENTHS) < F.col("raw_rows"))
-    return counts.select(
-        as_date_lit(as_of).alias("run_date"),
-        F.lit(RECONCILIATION_CHECK).alias("check_name"),
-        F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
-        F.col("raw_rows").alias("total_rows"),
-        diff.cast("bigint").alias("failing_rows"),
-        round_pct(f"abs(gold_rows - raw_rows)", "raw_rows").alias("pct_failed"),
-        ts_lit(run_ts).alias("checked_at"),
-    )
-
-
 def check_log(
     staged: DataFrame,
     gold: DataFrame | None,
@@ -136,7 +85,8 @@ def check_log(
         F.expr(f"stack({len(arms)}, {', '.join(arms)}) AS (check_name, failing_rows, total_rows)")
     )
     failing, whole = F.col("failing_rows"), F.col("total_rows")
-    within = (whole > 0) & (failing * (10 // RECONCILIATION_TOLERANCE_TENTHS) < whole)
+    part, of = RECONCILIATION_TOLERANCE
+    within = (whole > 0) & (failing * of < whole * part)
     status = F.when(
         F.col("check_name") == F.lit(RECONCILIATION_CHECK), F.when(within, F.lit(PASS)).otherwise(F.lit(FAIL))
     ).otherwise(F.when(failing == 0, F.lit(PASS)).otherwise(F.lit(FAIL)))
@@ -151,4 +101,4 @@ def check_log(
     ).select(*CHECK_LOG_COLUMNS)
 
 
-__all__ = ["round_pct", "check_rows", "table_counts", "reconciliation_row", "check_log", "checks_for"]
+__all__ = ["round_pct", "check_log", "checks_for"]

@@ -16,6 +16,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from quayside.session import checkpoint_root
 
 ROW_ID_COLUMNS = ("_rid_file", "_rid_row")
 
@@ -34,7 +37,10 @@ def with_row_ids(df: DataFrame) -> DataFrame:
                 ROW_ID_COLUMNS[1]: F.col("_metadata.row_index"),
             }
         )
-    except Exception:
+    except AnalysisException as e:
+        if "_metadata" not in str(e):
+            raise
+        checkpoint_root(df.sparkSession)  # registers the shared folder if it is not yet
         fixed = df.checkpoint(eager=True)
         return fixed.withColumns(
             {

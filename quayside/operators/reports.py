@@ -31,6 +31,12 @@ def destination_counts(gold: DataFrame, quarantine: DataFrame) -> DataFrame:
     )
 
 
+def staged_destination_counts(staged: DataFrame) -> DataFrame:
+    """The same for the staged rows of a day, in one aggregate."""
+    counts = staged.agg(F.count_if("is_valid").alias("g"), F.count_if(~F.col("is_valid")).alias("q"))
+    return counts.select(F.expr(f"stack(2, '{GOLD_LABEL}', g, '{QUARANTINE_LABEL}', q) AS (destination, row_count)"))
+
+
 def quarantine_by_reason(quarantine: DataFrame) -> DataFrame:
     """Rejected rows per full reason string, most frequent first (Q2)."""
     return quarantine.groupBy("_failure_reason").agg(F.count(F.lit(1)).alias("rejected_rows")).orderBy(

@@ -64,7 +64,7 @@ def quarantine_rows(staged: DataFrame, run_ts: dt.datetime | str, as_of: dt.date
         "_source_file",
         "_row_hash",
         "_loaded_at",
-        F.col("failure_reasons").alias("_failure_reason"),
+        strip_trailing_comma("failure_reasons").alias("_failure_reason"),
         ts_lit(run_ts).alias("_quarantine_at"),
     )
     if as_of is not None:

@@ -27,6 +27,7 @@ from quayside.operators.checklog import check_log
 from quayside.operators.checks import stage
 from quayside.operators.dedupe import ROW_ID_COLUMNS
 from quayside.operators.route import gold_rows, quarantine_rows, skip_already_loaded
+from quayside.plans.observed import observed_metrics
 from quayside.schema import GOLD_SCHEMA
 from quayside.session import Lakehouse
 from quayside.sinks.tables import (
@@ -48,11 +49,8 @@ class GoldRunResult:
 
 
 def _observed(obs: Observation) -> int:
-    """Observed row count; 0 when AQE removed an empty plan before it reported."""
-    try:
-        return int(obs.get.get("n", 0))
-    except Exception:
-        return 0
+    """Observed row count; an empty plan that AQE removed reports no metric, which is 0."""
+    return int(observed_metrics(obs).get("n", 0))
 
 
 def _day(as_of: dt.date | str) -> dt.date:
@@ -91,7 +89,7 @@ def run_gold(
     write_gold(new_gold.observe(gold_obs, F.count(F.lit(1)).alias("n")), lake.gold)
 
     rejected = quarantine_rows(st, run_ts, day)
-    write_quarantine(rejected.observe(quarantine_obs, F.count(F.lit(1)).alias("n")), lake.quarantine)
+    write_quarantine(rejected.observe(quarantine_obs, F.count(F.lit(1)).alias("n")), lake.quarantine, day)
 
     gold_now = or_empty(spark, read_gold(spark, lake.gold), GOLD_SCHEMA)
     log = check_log(st.observe(staged_obs, F.count(F.lit(1)).alias("n")), gold_now, raw, day, run_ts, all_eight)

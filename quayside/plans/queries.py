@@ -34,9 +34,9 @@ from quayside.plans.ingest import ingest_csv
 from quayside.session import Lakehouse, scratch_path
 from quayside.sources.csv_files import write_csv
 from quayside.streaming.ingest_stream import start_ingest_stream
-from quayside.sinks.tables import read_check_log, read_gold
+from quayside.sinks.tables import read_check_log, read_gold, read_quarantine
 from quayside.sources.fixture import FIXTURE_AS_OF, FIXTURE_PREV_DAY
-from quayside.sources.raw_table import append_raw, fixture_raw_table, land_fixture, raw_day, read_raw
+from quayside.sources.raw_table import append_raw, fixture_raw_table, land_fixture, raw_day, read_raw, read_rejects
 
 AS_OF = FIXTURE_AS_OF
 PREV_DAY = FIXTURE_PREV_DAY
@@ -167,8 +167,7 @@ def q_reconcile_row_counts(spark, sf_dir):
 
 
 def q_destination_counts(spark, sf_dir):
-    st = _staged(spark, sf_dir)
-    return reports.destination_counts(gold_rows(st, RUN_TS), quarantine_rows(st, RUN_TS))
+    return reports.staged_destination_counts(_staged(spark, sf_dir))
 
 
 def q_quarantine_by_reason(spark, sf_dir):
@@ -275,6 +274,63 @@ def q_stream_ingest(spark, sf_dir):
     return _with_group(read_raw(spark, lake.raw)).select(*BUSINESS_COLUMNS, "_row_hash", "source_group")
 
 
+def _stream(spark, landing: str, lake: Lakehouse, ckpt: str) -> None:
+    start_ingest_stream(spark, landing, lake, ckpt, loaded_at=lambda b: f"{AS_OF} 07:00:00").awaitTermination()
+
+
+def _age(spark, folder: str, days: int) -> None:
+    """Set the modification time of a folder's files back by so many days."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    for f in fs.listStatus(path):
+        fs.setTimes(f.getPath(), f.getModificationTime() - days * 86_400_000, -1)
+
+
+def q_stream_late_file(spark, sf_dir):
+    """Files dated thirty days before those of an earlier run still land."""
+    landing, lake = scratch_path(spark, "stream-landing"), Lakehouse.fresh(spark, "lake")
+    ckpt = scratch_path(spark, "stream-checkpoint")
+    _write_fixture_csvs(spark, sf_dir, landing, groups=("a",))
+    _stream(spark, landing, lake, ckpt)
+    _write_fixture_csvs(spark, sf_dir, landing, groups=("b", "c"))
+    for g in ("b", "c"):
+        _age(spark, f"{landing}/{g}", 30)
+    _stream(spark, landing, lake, ckpt)
+    return _with_group(read_raw(spark, lake.raw)).select(*BUSINESS_COLUMNS, "_row_hash", "source_group")
+
+
+def q_landing_rejects(spark, sf_dir):
+    """Files of group c get a column that raw does not have: they are recorded, the others land."""
+    landing, lake = scratch_path(spark, "stream-landing"), Lakehouse.fresh(spark, "lake")
+    _write_fixture_csvs(spark, sf_dir, landing, groups=("a", "b"))
+    bad = _raw(spark, sf_dir).where(F.col("_source_file") == CSV_GROUPS[2][1]).select(*BUSINESS_COLUMNS, F.lit("x").alias("coupon"))
+    write_csv(bad.coalesce(1), f"{landing}/c")
+    _stream(spark, landing, lake, scratch_path(spark, "stream-checkpoint"))
+    rejects = _with_group(read_rejects(spark, lake.landing_rejects).withColumnRenamed("path", "_source_file"))
+    refused = rejects.groupBy("source_group", F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    landed = _with_group(read_raw(spark, lake.raw)).groupBy("source_group").agg(F.count(F.lit(1)).alias("n"))
+    return refused.unionByName(landed.select("source_group", F.lit("landed").alias("outcome"), "n"))
+
+
+def q_batch_replace(spark, sf_dir):
+    """A batch id used again, for another load day and fewer rows, leaves only the last batch."""
+    lake = Lakehouse.fresh(spark, "lake")
+    raw = _raw(spark, sf_dir).select(*RAW_COLUMNS)
+    append_raw(raw, lake.raw, "b1")
+    again = raw.where(F.col("_source_file") == CSV_GROUPS[0][1])
+    append_raw(again.withColumn("_loaded_at", F.to_timestamp(F.lit("2001-07-01 07:00:00"))), lake.raw, "b1")
+    return read_raw(spark, lake.raw).select(*BUSINESS_COLUMNS, "_row_hash", F.date_format("_load_date", "yyyy-MM-dd").alias("load_day"))
+
+
+def q_quarantine_written(spark, sf_dir):
+    """The written quarantine of the run day, after the day was run twice."""
+    lake = _lake_with_fixture(spark, sf_dir)
+    run_gold(spark, lake, AS_OF, RUN_TS)
+    run_gold(spark, lake, AS_OF, RERUN_TS)
+    return read_quarantine(spark, lake.quarantine).select(*BUSINESS_COLUMNS, "_row_hash", "_failure_reason")
+
+
 def _next_morning(batch_id, day):
     return f"{day + dt.timedelta(days=1)} 07:00:00"
 
@@ -336,6 +392,10 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "stream_ingest": q_stream_ingest,
     "stream_gold": q_stream_gold,
+    "stream_late_file": q_stream_late_file,
+    "landing_rejects": q_landing_rejects,
+    "batch_replace": q_batch_replace,
+    "quarantine_written": q_quarantine_written,
 }
 
 __all__ = ["QUERIES", "AS_OF", "RUN_TS", "PREV_RUN_TS", "RERUN_TS"]

@@ -76,7 +76,7 @@ EXTRA_CHECKS: tuple[tuple[str, str], ...] = (
 )
 RECONCILIATION_CHECK = "gold_vs_raw_row_count_check"
 # Gold may differ from raw by less than this fraction of raw (all time).
-RECONCILIATION_TOLERANCE_TENTHS = 1  # 0.10 == 1/10, kept integral for exact comparison
+RECONCILIATION_TOLERANCE = (1, 10)  # 0.10 as a fraction, for exact comparison in integers
 PASS, FAIL = "PASS", "FAIL"
 
 # --------------------------------------------------------------------------------------

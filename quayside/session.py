@@ -66,10 +66,10 @@ def apply_session_conf(spark: SparkSession) -> None:
         max(1, spark.sparkContext.defaultParallelism)
     )
     for k, v in conf.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings: leave as the cluster set them
-            pass
+        elif spark.conf.get(k, None) != v:
+            raise RuntimeError(f"{k} must be {v} and cannot be set on this session")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -80,6 +80,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d.rstrip("/")
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quayside-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return (sc.getCheckpointDir() or conf_dir).rstrip("/")
@@ -138,6 +140,10 @@ class Lakehouse:
     def quarantine(self) -> str:
         return f"{self.root}/gold/orders_quarantine"
 
+    @property
+    def landing_rejects(self) -> str:
+        return f"{self.root}/landing_rejects"
+
     @property
     def check_log(self) -> str:
         return f"{self.root}/gold/dq_run_log"

@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -69,14 +70,13 @@ def write_gold(rows: DataFrame, path: str) -> None:
         )
 
 
-def write_quarantine(rows: DataFrame, path: str) -> None:
-    """Replace the run day's quarantine partition (other days untouched)."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(QUARANTINE_DATE)
-        .parquet(path)
-    )
+def write_quarantine(rows: DataFrame, path: str, day: dt.date) -> None:
+    """Replace the run day's quarantine partition, also by nothing (other days untouched).
+
+    The day's folder is overwritten itself: a dynamic overwrite replaces only folders it
+    has rows for, and would leave the last run's rejects if there are none now.
+    """
+    rows.drop(QUARANTINE_DATE).write.mode("overwrite").parquet(f"{path}/{QUARANTINE_DATE}={day.isoformat()}")
 
 
 def write_check_log(rows: DataFrame, path: str) -> None:

@@ -34,10 +34,15 @@ def append_raw(rows: DataFrame, raw_path: str, batch_id: str | None = None) -> s
     """Land raw rows (19 columns) as one batch, in one write job; returns the batch id.
 
     A new batch id appends; a batch id written before is replaced (idempotent
-    replay). No shuffle: a batch covers one or two load days, so each task writes a
+    replay): all its partitions go, also those of load days that the batch no longer
+    has. No shuffle: a batch covers one or two load days, so each task writes a
     file per day it holds. An empty batch writes nothing.
     """
-    batch_id = batch_id or uuid.uuid4().hex
+    fs, old = None, []
+    if batch_id is None:
+        batch_id = uuid.uuid4().hex
+    else:
+        fs, old = _batch_files(rows.sparkSession, raw_path, batch_id)
     out = with_load_date(rows.select(*RAW_SCHEMA.fieldNames())).withColumn(BATCH, F.lit(batch_id))
     (
         out.write.mode("overwrite")
@@ -46,9 +51,42 @@ def append_raw(rows: DataFrame, raw_path: str, batch_id: str | None = None) -> s
         .partitionBy(LOAD_DATE, BATCH)
         .parquet(raw_path)
     )
+    for path in old:  # what the write did not replace; only now, as the rows may have been read from there
+        fs.delete(path, False)
     return batch_id
 
 
+def _batch_files(spark: SparkSession, raw_path: str, batch_id: str):
+    """(file system, files) of a batch's partitions under any load day."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path
+    table = path(raw_path)
+    fs = table.getFileSystem(sc._jsc.hadoopConfiguration())
+    name = sc._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)
+    folders = [path(d.getPath(), f"{BATCH}={name}") for d in fs.listStatus(table)] if fs.exists(table) else []
+    return fs, [f.getPath() for d in folders if fs.exists(d) for f in fs.listStatus(d)]
+
+
+REJECTS_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType(), True) for c in ("path", "reason", BATCH)]
+)
+
+
+def write_rejects(spark: SparkSession, path: str, batch_id: str, rejected: list[tuple[str, str]]) -> None:
+    """Record the files of a batch that could not be landed; a replayed batch replaces its own."""
+    if rejected:
+        rows = spark.createDataFrame([(p, why, batch_id) for p, why in rejected], REJECTS_SCHEMA)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reason, _batch) of files that could not be landed (empty if there are none)."""
+    try:
+        return spark.read.schema(REJECTS_SCHEMA).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], REJECTS_SCHEMA)
+
+
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
     """The raw table (empty with the right schema if nothing has landed yet)."""
     try:

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from quayside.operators.checklog import reconciliation_row, round_pct
+from quayside.operators.checklog import check_log, round_pct
 from quayside.operators.checks import stage
 from quayside.schema import RAW_SCHEMA
 
@@ -20,14 +20,18 @@ def test_round_pct_half_up_exact(spark):
 
 
 def test_reconciliation_edges(spark):
-    counts = spark.createDataFrame([(0, 0), (95, 100), (90, 100), (89, 100)], "gold_rows bigint, raw_rows bigint")
-    rows = reconciliation_row(counts, DAY, "2024-03-11 07:00:00").collect()
-    assert [(r["status"], r["failing_rows"], r["pct_failed"]) for r in rows] == [
-        ("FAIL", 0, None),
-        ("PASS", 5, 5.0),
-        ("FAIL", 10, 10.0),  # exactly 10 % is not < 10 %
-        ("FAIL", 11, 11.0),
-    ]
+    """The rule that runs: gold rows against raw rows in the check log."""
+    none = spark.createDataFrame([raw_row()], RAW_SCHEMA).withColumn("_load_date", F.to_date("_loaded_at"))
+    staged = stage(none, DAY).limit(0)
+    for gold, raw, want in (
+        (0, 0, ("FAIL", 0, None)),
+        (95, 100, ("PASS", 5, 5.0)),
+        (90, 100, ("FAIL", 10, 10.0)),  # exactly 10 % is not < 10 %
+        (89, 100, ("FAIL", 11, 11.0)),
+    ):
+        log = check_log(staged, spark.range(gold), spark.range(raw), DAY, "2024-03-11 07:00:00")
+        (r,) = log.where("check_name = 'gold_vs_raw_row_count_check'").collect()
+        assert (r["status"], r["failing_rows"], r["pct_failed"]) == want
 
 
 def test_stage_on_a_non_file_input_uses_checkpointed_row_ids(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quayside.operators import reports
 from quayside.plans.gold_run import run_gold, stage_to_storage
 from quayside.operators.route import gold_rows, skip_already_loaded
+from quayside.schema import RAW_SCHEMA
 from quayside.session import Lakehouse, local_path, scratch_path
 from quayside.sinks.tables import read_check_log, read_gold, read_quarantine, write_gold
 from quayside.sources.raw_table import append_raw, read_raw
@@ -181,3 +182,30 @@ def test_reason_text_counts_agree_with_check_log(spark):
     for name, flag in LOGGED_CHECKS:
         assert log[name] == by_code[code_of[flag].lower()], name
     assert by_code["missing_order_id"] == 1
+
+
+def test_a_rerun_without_rejects_empties_the_days_quarantine(spark):
+    from quayside.sinks.tables import read_quarantine
+    from quayside.sources.raw_table import append_raw
+
+    lake = Lakehouse.fresh(spark, "test-lake")
+    append_raw(spark.createDataFrame([raw_row(order_date="junk")], RAW_SCHEMA), lake.raw, "b1")
+    assert run_gold(spark, lake, DAY, "2024-03-11 07:00:00").quarantined == 1
+    append_raw(spark.createDataFrame([raw_row()], RAW_SCHEMA), lake.raw, "b1")
+    again = run_gold(spark, lake, DAY, "2024-03-11 08:00:00")
+    assert (again.quarantined, again.gold_appended) == (0, 1)
+    assert read_quarantine(spark, lake.quarantine).count() == 0
+
+
+def test_a_batch_id_used_again_replaces_other_load_days_and_may_be_empty(spark):
+    import datetime as dt
+
+    from quayside.sources.raw_table import append_raw, read_raw
+
+    lake = Lakehouse.fresh(spark, "test-lake")
+    append_raw(spark.createDataFrame([raw_row()], RAW_SCHEMA), lake.raw, "b1")
+    append_raw(spark.createDataFrame([raw_row()], RAW_SCHEMA), lake.raw, "b2")
+    append_raw(spark.createDataFrame([raw_row(loaded_at=TS + dt.timedelta(days=3))], RAW_SCHEMA), lake.raw, "b1")
+    assert sorted(r["_batch"] for r in read_raw(spark, lake.raw).collect()) == ["b1", "b2"]
+    append_raw(spark.createDataFrame([], RAW_SCHEMA), lake.raw, "b1")
+    assert [r["_batch"] for r in read_raw(spark, lake.raw).collect()] == ["b2"]
