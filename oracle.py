@@ -8,8 +8,28 @@ pre-registered views (lineitem, orders, part, customer, nation, ...).
 
 from __future__ import annotations
 
-from quayside.functions.text import INITCAP_PUNCTUATION, WHITESPACE
-from quayside.schema import BUSINESS_COLUMNS, NULL_TOKENS, STORE_LOOKUP
+# The landing columns, the tokens read as NULL, the canonical store names
+# with their raw forms, whitespace, and the word delimiters of title case. Stated here
+# again, not imported, so that a wrong entry of the engine does not pass.
+BUSINESS_COLUMNS = (
+    "order_id", "order_date", "ship_date", "customer_name", "customer_email", "customer_state", "product_name",
+    "category", "quantity", "unit_price", "discount_pct", "revenue", "store_name", "shipping_method",
+    "payment_method", "order_status",
+)
+NULL_TOKENS = ("", "NA", "N/A", "null", "NULL")
+STORE_LOOKUP = (
+    ("Garden Grove Store", ("garden grove store", "garden grove")),
+    ("Pacific Coast Store", ("pacific coast store", "pacific coast")),
+    ("Lakeside Outlet", ("lakeside outlet", "lakeside")),
+    ("Mountain View Store", ("mountain view", "mountain view store")),
+    ("Prairie Home Store", ("prairie home", "prairie home store")),
+)
+WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+INITCAP_PUNCTUATION = '[](){}/|\\<>!?@"^#$&~_,.:;*%+-'
 
 AS_OF = "2001-06-01"
 PREV_DAY = "2001-05-31"
@@ -77,7 +97,11 @@ def null_tok(x: str) -> str:
 
 
 def pct(part: str, whole: str) -> str:
-    return f"CASE WHEN {whole} > 0 THEN CAST(({part} * 20000 + {whole}) // (2 * {whole}) AS DOUBLE) / 100.0 END"
+    """Percent to two decimals, halves up: hundredths of a percent, plus one from half of a remainder on."""
+    return (
+        f"CASE WHEN {whole} > 0 THEN CAST(({part} * 10000) // {whole} "
+        f"+ CASE WHEN (({part} * 10000) % {whole}) * 2 >= {whole} THEN 1 ELSE 0 END AS DOUBLE) / 100.0 END"
+    )
 
 
 def portable_hash(cols=BUSINESS_COLUMNS) -> str:
@@ -155,8 +179,10 @@ raw AS (
 )"""
 
 
-def staged_ctes(src: str, as_of: str, prefix: str) -> str:
-    """CTEs {prefix}_typed, {prefix}_numbered, {prefix}_staged for rows of `src` loaded on as_of."""
+def staged_ctes(src: str, as_of: str, prefix: str, first: str = "") -> str:
+    """CTEs {prefix}_typed, {prefix}_numbered, {prefix}_staged for rows of `src` loaded on as_of.
+
+    `first` is an order that goes before the numbering's own, with a comma after it."""
     p = prefix
     casts = ",\n    ".join(
         [
@@ -198,7 +224,7 @@ def staged_ctes(src: str, as_of: str, prefix: str) -> str:
 ),
 {p}_numbered AS (
   SELECT *, row_number() OVER (PARTITION BY order_id
-      ORDER BY _loaded_at ASC NULLS FIRST, _source_file ASC NULLS FIRST, _row_hash ASC NULLS FIRST) AS _rn
+      ORDER BY {first} _loaded_at ASC NULLS FIRST, _source_file ASC NULLS FIRST, _row_hash ASC NULLS FIRST) AS _rn
   FROM {p}_typed
 ),
 {p}_checked AS (
@@ -396,6 +422,27 @@ def build() -> dict[str, str]:
     )
     s["rerun_day"] = f"{base} {gold_select('d_staged', RUN_TS)}"
 
+    # The day runs over file b alone; then file a lands, and Express rows of b again with
+    # an earlier load time, as new rows; the day runs again and gold's rows stay.
+    day_1 = f"raw_1 AS (SELECT * FROM raw WHERE _source_file = 'orders_2001-06-01b.csv')"
+    late = (
+        "raw_2 AS (SELECT *, NOT EXISTS (SELECT 1 FROM gold_prev g WHERE g._source_file = r._source_file "
+        "AND g._row_hash = r._row_hash AND g._loaded_at = r._loaded_at) AS _is_new FROM ("
+        "SELECT * FROM raw WHERE _source_file <> 'orders_2001-05-31.csv' UNION ALL "
+        f"SELECT {', '.join(BUSINESS_COLUMNS)}, TIMESTAMP '{AS_OF} 05:00:00', 'late.csv', md5(_row_hash) FROM raw_1 "
+        "WHERE shipping_method = 'Express') r)"
+    )
+    late_ctes = with_(
+        FIXTURE_BASE, day_1, staged_ctes("raw_1", AS_OF, "p"), f"gold_prev AS ({gold_select('p_staged', RUN_TS)})",
+        late, staged_ctes("raw_2", AS_OF, "d", "_is_new,"), gold_new.replace(RUN_TS, RERUN_TS),
+    )
+    kept_cols = "order_id, _source_file, _row_hash, _loaded_at"
+    s["late_file_rerun"] = (
+        f"{late_ctes} SELECT 'gold' AS destination, {kept_cols}, NULL AS reason FROM gold_prev UNION ALL "
+        f"SELECT 'gold', {kept_cols}, NULL FROM gold_new UNION ALL "
+        f"SELECT 'quarantine', {kept_cols}, failure_reasons FROM d_staged WHERE NOT is_valid"
+    )
+
     s["raw_profile"] = f"""{with_(FIXTURE_BASE)}
 SELECT CAST(count(*) AS BIGINT) AS total_rows, {len(BUSINESS_COLUMNS)} AS n_columns,
   CAST(count(*) - count(DISTINCT order_id) - max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_order_ids,

@@ -62,14 +62,17 @@ def add_checks(df: DataFrame, as_of: dt.date | str) -> DataFrame:
     return flagged.withColumn("failure_reasons", reasons).withColumn("is_valid", F.col("failure_reasons") == F.lit(""))
 
 
-def stage(raw_day: DataFrame, as_of: dt.date | str, dedupe_method: str = "aggregate") -> DataFrame:
+def stage(
+    raw_day: DataFrame, as_of: dt.date | str, dedupe_method: str = "aggregate", kept: DataFrame | None = None
+) -> DataFrame:
     """A day's raw rows, numbered, typed and checked (one row out per row in).
 
-    Numbering comes first so the row-id join moves only the raw columns; the casts
-    are computed after it (numbering never depends on them).
+    Numbering comes first so its join moves only the raw columns; the casts are computed
+    after it (numbering never depends on them). ``kept`` names rows that an earlier run
+    of the day chose (see ``mark_later_rows``).
     """
     numbered = mark_later_rows(
-        with_row_ids(raw_day), "order_id", DEDUPE_ORDER, "duplicate_order_id", method=dedupe_method
+        with_row_ids(raw_day), "order_id", DEDUPE_ORDER, "duplicate_order_id", method=dedupe_method, kept=kept
     )
     return add_checks(add_casts(numbered), as_of)
 

@@ -2,9 +2,10 @@
 
 The default ``aggregate`` method never gathers one key's rows into one task: the first
 row of every key is found with ``min(struct(order..., row id))`` (partially aggregated
-on the map side, so a key holding a third of all rows costs the same as any other),
-and the winners are joined back on the unique row id, which spreads evenly. NULL keys
-form one group, as in a window partition.
+on the map side, so a key holding a third of all rows costs the same as any other).
+Only keys that occur more than once, a row each, are joined back: a small side, which is
+broadcast where it is small, else a shuffle join whose hot keys adaptive execution
+splits. NULL keys form one group, as in a window partition.
 
 The ``window`` method is the literal row_number formulation, kept for small inputs
 and for comparison; it sorts each key's rows in one task.
@@ -56,29 +57,46 @@ def mark_later_rows(
     order_by: Sequence[str],
     flag: str,
     method: str = "aggregate",
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """Add boolean ``flag``: True for every row except the first per ``key``.
 
     Rows are ordered by ``order_by`` ascending with NULLs first; the row id breaks
     full ties, so exactly one row per key is first. ``df`` must carry the row id
-    columns (``with_row_ids``) for the aggregate method.
+    columns (``with_row_ids``). ``kept`` (the ``order_by`` columns of rows that were
+    chosen before) puts those rows ahead of all others, so a later run over more rows
+    does not choose anew; a NULL in them matches nothing.
     """
+
+    def ordered(rows: DataFrame) -> tuple[DataFrame, list[str]]:
+        if kept is None:
+            return rows, [*order_by, *ROW_ID_COLUMNS]
+        marks = kept.select(*order_by).distinct().withColumn("_kept", F.lit(True))
+        rows = rows.join(marks, list(order_by), "left").withColumn("_new", F.col("_kept").isNull()).drop("_kept")
+        return rows, ["_new", *order_by, *ROW_ID_COLUMNS]
+
     if method == "window":
-        w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order_by], *ROW_ID_COLUMNS)
-        return df.withColumn(flag, F.row_number().over(w) > 1)
+        rows, order = ordered(df)
+        w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        return rows.withColumn(flag, F.row_number().over(w) > 1).drop("_new").select(*df.columns, flag)
     if method != "aggregate":
         raise ValueError(f"unknown method {method!r}")
 
-    # GROUP BY keeps all NULL keys in one group, as a window partition does.
-    firsts = (
-        df.groupBy(key)
-        .agg(F.min(F.struct(*order_by, *ROW_ID_COLUMNS)).alias("_first"))
-        .select(*[F.col(f"_first.{c}").alias(c) for c in ROW_ID_COLUMNS], F.lit(True).alias("_is_first"))
+    # GROUP BY keeps all NULL keys in one group, as a window partition does. Most keys
+    # occur once and need no join: only repeated ones go on.
+    rows, order = ordered(df.select(key, *order_by, *ROW_ID_COLUMNS))
+    file, row = ROW_ID_COLUMNS
+    repeated = (
+        rows.groupBy(key)
+        .agg(F.min(F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+        .select(F.col(key).alias("_key"), F.col(f"_first.{file}").alias("_file"), F.col(f"_first.{row}").alias("_row"))
     )
+    is_first = (F.col(file) == F.col("_file")) & (F.col(row) == F.col("_row"))
     return (
-        df.join(firsts, list(ROW_ID_COLUMNS), "left")
-        .withColumn(flag, F.col("_is_first").isNull())
-        .drop("_is_first")
+        df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
+        .withColumn(flag, F.coalesce(~is_first, F.lit(False)))
+        .drop("_key", "_file", "_row")
     )
 
 

@@ -1,13 +1,17 @@
-"""The daily gold run: stage a load day, then gold, quarantine and the check log.
+"""The daily gold run: stage a load day, then quarantine, gold and the check log.
 
 Order and rerun safety (no transactions across tables):
 
 1. Stage the day's raw partition once (casts, duplicate marking, eight checks) and
-   write it to the lakehouse staging folder; steps 2-4 read that copy, so the
-   numbering shuffle runs once and a lost executor never changes which row won.
-2. Gold: append valid rows whose row hash is not in gold yet. A rerun, or a rerun
+   write it to a folder of this run; steps 2-4 read that copy, so the numbering shuffle
+   runs once and a lost executor never changes which row won. The folder goes when the
+   run ends. On a day that ran before, the rows of the day that are in gold keep their
+   place: a file landed since then cannot put a second row of their order id into gold.
+2. Quarantine: replace the run day's partition with the day's rejected rows. It is
+   written before gold, so no day has gold rows without that partition: where there is
+   none, the day has not run, and step 1 need not look into gold.
+3. Gold: append valid rows whose row hash is not in gold yet. A rerun, or a rerun
    after a crash part-way through this write, appends only what is missing.
-3. Quarantine: replace the run day's partition with the day's rejected rows.
 4. Check log: replace the run day's rows (one aggregate over the staged copy plus the
    all-time gold/raw reconciliation).
 
@@ -18,20 +22,22 @@ clock reads, so any day can be re-run or back-filled.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.checklog import check_log
-from quayside.operators.checks import stage
+from quayside.operators.checks import DEDUPE_ORDER, stage
 from quayside.operators.dedupe import ROW_ID_COLUMNS
-from quayside.operators.route import gold_rows, quarantine_rows, skip_already_loaded
+from quayside.operators.route import gold_rows, quarantine_rows, skip_already_loaded, ts_lit
 from quayside.plans.observed import observed_metrics
 from quayside.schema import GOLD_SCHEMA
-from quayside.session import Lakehouse
+from quayside.session import Lakehouse, hadoop_path
 from quayside.sinks.tables import (
     or_empty,
+    quarantine_folder,
     read_gold,
     write_check_log,
     write_gold,
@@ -57,15 +63,41 @@ def _day(as_of: dt.date | str) -> dt.date:
     return as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
 
 
+def chosen_before(spark: SparkSession, lake: Lakehouse, day: dt.date) -> DataFrame | None:
+    """The numbering columns of gold rows loaded on the day; None if the day has not run.
+
+    The load-time filter reaches the Parquet scan: files of other days' runs are skipped
+    by their statistics.
+    """
+    fs, folder = hadoop_path(spark, quarantine_folder(lake.quarantine, day))
+    gold = read_gold(spark, lake.gold) if fs.exists(folder) else None
+    if gold is None:
+        return None
+    start, end = (ts_lit(f"{d.isoformat()} 00:00:00") for d in (day, day + dt.timedelta(days=1)))
+    return gold.where((F.col("_loaded_at") >= start) & (F.col("_loaded_at") < end)).select(*DEDUPE_ORDER)
+
+
 def stage_to_storage(
-    spark: SparkSession, raw: DataFrame, lake: Lakehouse, as_of: dt.date | str, dedupe_method: str = "aggregate"
+    spark: SparkSession,
+    raw: DataFrame,
+    lake: Lakehouse,
+    as_of: dt.date | str,
+    kept: DataFrame | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Stage the run day and write it under the lakehouse staging folder; return the copy."""
+    """Stage the run day, write it to a folder of its own under the staging folder; return the copy.
+
+    ``observation`` gets the row count (n) and the order dates of valid rows (dates), a
+    set bounded by the calendar: they are no later than the run day, with four-digit years.
+    """
     day = _day(as_of)
-    path = f"{lake.staging}/run_date={day.isoformat()}"
-    staged = stage(raw_day(raw, day), day, dedupe_method).drop(*ROW_ID_COLUMNS)
-    staged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{lake.staging}/run_date={day.isoformat()}/{uuid.uuid4().hex}"
+    staged = stage(raw_day(raw, day), day, kept=kept).drop(*ROW_ID_COLUMNS)
+    if observation is not None:
+        dates = F.collect_set(F.when(F.col("is_valid"), F.col("order_date_cast")))
+        staged = staged.observe(observation, F.count(F.lit(1)).alias("n"), dates.alias("dates"))
+    staged.write.parquet(path)
+    return spark.read.option("basePath", path).parquet(path)
 
 
 def run_gold(
@@ -75,26 +107,29 @@ def run_gold(
     run_ts: dt.datetime | str,
     *,
     all_eight: bool = False,
-    dedupe_method: str = "aggregate",
 ) -> GoldRunResult:
     """Run the gold pipeline for one load day (idempotent; see module docstring)."""
     day = _day(as_of)
+    gold_obs, quarantine_obs, staged_obs = Observation("gold"), Observation("quarantine"), Observation("staged")
     # Only the run day's raw folder is listed for staging; the all-time raw count
     # (reconciliation) reads file footers only.
-    st = stage_to_storage(spark, read_raw_day(spark, lake.raw, day), lake, day, dedupe_method)
-    raw = read_raw(spark, lake.raw)
-
-    gold_obs, quarantine_obs, staged_obs = Observation("gold"), Observation("quarantine"), Observation("staged")
-    new_gold = skip_already_loaded(gold_rows(st, run_ts), read_gold(spark, lake.gold))
-    write_gold(new_gold.observe(gold_obs, F.count(F.lit(1)).alias("n")), lake.gold)
+    kept = chosen_before(spark, lake, day)
+    st = stage_to_storage(spark, read_raw_day(spark, lake.raw, day), lake, day, kept, staged_obs)
 
     rejected = quarantine_rows(st, run_ts, day)
     write_quarantine(rejected.observe(quarantine_obs, F.count(F.lit(1)).alias("n")), lake.quarantine, day)
 
+    dates = sorted(observed_metrics(staged_obs).get("dates") or [])
+    new_gold = skip_already_loaded(gold_rows(st, run_ts), read_gold(spark, lake.gold), dates)
+    write_gold(new_gold.observe(gold_obs, F.count(F.lit(1)).alias("n")), lake.gold)
+
     gold_now = or_empty(spark, read_gold(spark, lake.gold), GOLD_SCHEMA)
-    log = check_log(st.observe(staged_obs, F.count(F.lit(1)).alias("n")), gold_now, raw, day, run_ts, all_eight)
+    log = check_log(st, gold_now, read_raw(spark, lake.raw), day, run_ts, all_eight)
     write_check_log(log, lake.check_log)
 
+    for path in {f.rsplit("/", 1)[0] for f in st.inputFiles()}:  # this run's own staging folder
+        fs, folder = hadoop_path(spark, path)
+        fs.delete(folder, True)
     return GoldRunResult(
         as_of=day,
         staged_rows=_observed(staged_obs),
@@ -103,4 +138,4 @@ def run_gold(
     )
 
 
-__all__ = ["GoldRunResult", "stage_to_storage", "run_gold"]
+__all__ = ["GoldRunResult", "chosen_before", "stage_to_storage", "run_gold"]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,8 +194,13 @@ def _lake_with_fixture(spark, sf_dir) -> Lakehouse:
     return lake
 
 
+def _lake_on_fixture(spark, sf_dir) -> Lakehouse:
+    """A fresh lakehouse that reads the landed fixture as its raw table (to which it must not land)."""
+    return replace(Lakehouse.fresh(spark, "lake"), raw_path=land_fixture(spark, sf_dir))
+
+
 def q_check_log_history(spark, sf_dir):
-    lake = _lake_with_fixture(spark, sf_dir)
+    lake = _lake_on_fixture(spark, sf_dir)
     run_gold(spark, lake, PREV_DAY, PREV_RUN_TS)
     run_gold(spark, lake, AS_OF, RUN_TS)
     return reports.check_log_history(read_check_log(spark, lake.check_log))
@@ -217,8 +223,29 @@ def q_skip_already_loaded(spark, sf_dir):
     )
 
 
+def q_late_file_rerun(spark, sf_dir):
+    """Where each row of the day lies after a run, a late landing of earlier load time, and a rerun."""
+    lake = Lakehouse.fresh(spark, "lake")
+    day = raw_day(_raw(spark, sf_dir), AS_OF).select(*RAW_COLUMNS)
+    first = day.where(F.col("_source_file") == CSV_GROUPS[2][1])
+    append_raw(first, lake.raw, "b1")
+    run_gold(spark, lake, AS_OF, RUN_TS)
+    again = first.where(F.col("shipping_method") == "Express").select(
+        *BUSINESS_COLUMNS,
+        F.to_timestamp(F.lit(f"{AS_OF} 05:00:00")).alias("_loaded_at"),
+        F.lit("late.csv").alias("_source_file"),
+        F.md5("_row_hash").alias("_row_hash"),
+    )
+    append_raw(day.where(F.col("_source_file") == CSV_GROUPS[1][1]).unionByName(again), lake.raw, "b2")
+    run_gold(spark, lake, AS_OF, RERUN_TS)
+    cols = ["order_id", "_source_file", "_row_hash", "_loaded_at"]
+    gold = read_gold(spark, lake.gold).select(F.lit("gold").alias("destination"), *cols, F.lit(None).cast("string").alias("reason"))
+    rejected = read_quarantine(spark, lake.quarantine)
+    return gold.unionByName(rejected.select(F.lit("quarantine").alias("destination"), *cols, F.col("_failure_reason").alias("reason")))
+
+
 def q_rerun_day(spark, sf_dir):
-    lake = _lake_with_fixture(spark, sf_dir)
+    lake = _lake_on_fixture(spark, sf_dir)
     run_gold(spark, lake, AS_OF, RUN_TS)
     run_gold(spark, lake, AS_OF, RERUN_TS)
     return read_gold(spark, lake.gold).select(*GOLD_COLUMNS)
@@ -325,7 +352,7 @@ def q_batch_replace(spark, sf_dir):
 
 def q_quarantine_written(spark, sf_dir):
     """The written quarantine of the run day, after the day was run twice."""
-    lake = _lake_with_fixture(spark, sf_dir)
+    lake = _lake_on_fixture(spark, sf_dir)
     run_gold(spark, lake, AS_OF, RUN_TS)
     run_gold(spark, lake, AS_OF, RERUN_TS)
     return read_quarantine(spark, lake.quarantine).select(*BUSINESS_COLUMNS, "_row_hash", "_failure_reason")
@@ -386,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "orders_by_store": q_orders_by_store,
     "orders_by_product": q_orders_by_product,
     "skip_already_loaded": q_skip_already_loaded,
+    "late_file_rerun": q_late_file_rerun,
     "rerun_day": q_rerun_day,
     "raw_profile": q_raw_profile,
     "raw_preview": q_raw_preview,

@@ -17,7 +17,8 @@ from pyspark.sql import SparkSession
 
 # Settings every pipeline run relies on: UTC calendar days, ANSI casts (every cast of
 # raw text is a try_*), AQE for runtime coalescing and skew splitting, dynamic
-# partition overwrite for per-day rewrites of quarantine and the check log.
+# partition overwrite for per-day rewrites of quarantine and the check log, timestamps in
+# a Parquet type that has statistics (the default has none: a time filter skips no file).
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -26,6 +27,7 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
@@ -95,6 +97,12 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([base, *parts])
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a folder or file, on whatever store it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -124,13 +132,14 @@ def ship_package(spark: SparkSession) -> None:
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """Locations of the four pipeline tables under one root."""
+    """Locations of the four pipeline tables under one root (raw may lie elsewhere)."""
 
     root: str
+    raw_path: str | None = None
 
     @property
     def raw(self) -> str:
-        return f"{self.root}/raw/orders"
+        return self.raw_path or f"{self.root}/raw/orders"
 
     @property
     def gold(self) -> str:
@@ -172,6 +181,7 @@ __all__ = [
     "apply_session_conf",
     "checkpoint_root",
     "scratch_path",
+    "hadoop_path",
     "ship_package",
     "Lakehouse",
     "local_path",

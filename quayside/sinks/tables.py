@@ -76,7 +76,12 @@ def write_quarantine(rows: DataFrame, path: str, day: dt.date) -> None:
     The day's folder is overwritten itself: a dynamic overwrite replaces only folders it
     has rows for, and would leave the last run's rejects if there are none now.
     """
-    rows.drop(QUARANTINE_DATE).write.mode("overwrite").parquet(f"{path}/{QUARANTINE_DATE}={day.isoformat()}")
+    rows.drop(QUARANTINE_DATE).write.mode("overwrite").parquet(quarantine_folder(path, day))
+
+
+def quarantine_folder(path: str, day: dt.date) -> str:
+    """A run day's folder; there is one, empty or not, once the day has run."""
+    return f"{path}/{QUARANTINE_DATE}={day.isoformat()}"
 
 
 def write_check_log(rows: DataFrame, path: str) -> None:
@@ -124,6 +129,7 @@ __all__ = [
     "QUARANTINE_SCHEMA",
     "write_gold",
     "write_quarantine",
+    "quarantine_folder",
     "write_check_log",
     "read_gold",
     "read_quarantine",

@@ -67,6 +67,16 @@ def _batch_files(spark: SparkSession, raw_path: str, batch_id: str):
     return fs, [f.getPath() for d in folders if fs.exists(d) for f in fs.listStatus(d)]
 
 
+def batch_loaded_at(spark: SparkSession, raw_path: str, batch_id: str) -> str | None:
+    """The load time of a batch that has landed before; None if it has not, or had no rows."""
+    _, files = _batch_files(spark, raw_path, batch_id)
+    folders = sorted({f.getParent().toString() for f in files})
+    if not folders:
+        return None
+    landed = spark.read.schema(RAW_SCHEMA).parquet(*folders)
+    return landed.agg(F.max("_loaded_at").cast("string")).first()[0]
+
+
 REJECTS_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType(), True) for c in ("path", "reason", BATCH)]
 )

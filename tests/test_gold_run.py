@@ -9,7 +9,7 @@ from quayside.operators import reports
 from quayside.plans.gold_run import run_gold, stage_to_storage
 from quayside.operators.route import gold_rows, skip_already_loaded
 from quayside.schema import RAW_SCHEMA
-from quayside.session import Lakehouse, local_path, scratch_path
+from quayside.session import Lakehouse, hadoop_path, local_path, scratch_path
 from quayside.sinks.tables import read_check_log, read_gold, read_quarantine, write_gold
 from quayside.sources.raw_table import append_raw, read_raw
 from quayside.streaming.ingest_stream import start_ingest_stream
@@ -197,6 +197,35 @@ def test_a_rerun_without_rejects_empties_the_days_quarantine(spark):
     assert read_quarantine(spark, lake.quarantine).count() == 0
 
 
+def test_a_late_file_does_not_unseat_a_row_in_gold(spark):
+    lake = Lakehouse.fresh(spark, "test-lake")
+    append_raw(spark.createDataFrame([raw_row(order_id="A", row_hash="h1")], RAW_SCHEMA), lake.raw, "b1")
+    run_gold(spark, lake, DAY, "2024-03-11 07:00:00")
+    late = [
+        raw_row(order_id="A", revenue="99.00", loaded_at=TS - dt.timedelta(hours=2), source="late.csv", row_hash="h0"),
+        raw_row(order_id="B", loaded_at=TS - dt.timedelta(hours=2), source="late.csv", row_hash="hb"),
+    ]
+    append_raw(spark.createDataFrame(late, RAW_SCHEMA), lake.raw, "b2")
+    for hour in (8, 9):
+        run_gold(spark, lake, DAY, f"2024-03-11 {hour:02}:00:00")
+        g, q, _ = snapshot(spark, lake)
+        assert g == [("A", "h1"), ("B", "hb")]
+        assert q == [("h0", "DUPLICATE_ORDER_ID")]
+    fs, staging = hadoop_path(spark, f"{lake.staging}/run_date={DAY}")
+    assert len(fs.listStatus(staging)) == 0
+
+
+def test_a_replayed_batch_keeps_its_load_time(spark):
+    from quayside.plans.ingest import ingest_csv
+
+    landing, lake = scratch_path(spark, "t-landing"), Lakehouse.fresh(spark, "t-lake")
+    _write(local_path(landing), "one.csv", "order_id\n1\n")
+    ingest_csv(spark, landing, lake.raw, batch_id="b1")
+    first = read_raw(spark, lake.raw).collect()
+    ingest_csv(spark, landing, lake.raw, batch_id="b1")
+    assert read_raw(spark, lake.raw).collect() == first
+
+
 def test_a_batch_id_used_again_replaces_other_load_days_and_may_be_empty(spark):
     import datetime as dt
 
