@@ -9,6 +9,9 @@ from quayside.llm import (
     ball_tree,
     ngram_join,
     packing,
+    periodic_runs,
+    positional_index,
+    prefix_trie,
     quality_crf,
     quartile_digest,
     repair_ids,
@@ -126,6 +129,38 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs.word_runs(_table(spark, sf_dir, "documents"), pick=periodic_runs.repeat_some)
+    return periodic_runs.digests(runs)
+
+
+def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2("items", 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seqs = prefix_trie.sequences(_table(spark, sf_dir, "conversations"))
+    nodes = prefix_trie.trie(prefix_trie.shared_openings(seqs, group=20, kinds=4))
+    return nodes.select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.col("ends").alias("ends_sha256"),
+    )
+
+
 _OP10_SQL = """
 WITH rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
   ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
@@ -156,6 +191,9 @@ QUERIES = {
         op8_toxicity_wfst,
         op9_quartile_digest,
         op10_url_filter,
+        op11_periodic_runs,
+        op12_positional_index,
+        op13_prefix_trie,
     )
 }
 
