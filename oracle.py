@@ -481,6 +481,24 @@ FROM raw"""
     )
     s["stream_ingest"] = s["csv_roundtrip"]
     s["stream_late_file"] = s["csv_roundtrip"]
+    s["stream_forgotten"] = s["csv_roundtrip"]
+    # Edge cases: what each of the sixteen forms reads as; only forms 11 to 13 differ where category is last.
+    kind = "strpos('0123456789abcdef', substr(_row_hash, 1, 1)) - 1"
+    product = (
+        "CASE k WHEN 2 THEN p || ', \"x\"' WHEN 3 THEN p || 'tail' WHEN 4 THEN 'x' || p || '\"q\"' "
+        "WHEN 5 THEN ' \"' || p || '\"' WHEN 6 THEN p || 'a\"b' WHEN 7 THEN '' WHEN 8 THEN '\"' WHEN 9 THEN 'NA' ELSE p END"
+    )
+    category = "CASE WHEN g <> 'b' AND k = 11 THEN c || ', more' WHEN g <> 'b' AND k = 13 THEN '' ELSE c END"
+    edge_names = ("order_id", "store_name", "product_name", "category")
+    edge = (
+        f"edge AS (SELECT {kind} AS k, coalesce(order_id, '') AS o, coalesce(store_name, '') AS s, coalesce(product_name, '') AS p, "
+        f"coalesce(category, '') AS c, CASE _source_file WHEN 'orders_2001-05-31.csv' THEN 'a' "
+        f"WHEN 'orders_2001-06-01a.csv' THEN 'b' ELSE 'c' END AS g FROM raw), "
+        f"edge_text AS (SELECT g, k, o AS order_id, s AS store_name, {product} AS product_name, {category} AS category FROM edge), "
+        f"edge_null AS (SELECT g, k, {', '.join(f'{null_tok(x)} AS {x}' for x in edge_names)} FROM edge_text)"
+    )
+    edge_rows = f"SELECT {', '.join(edge_names)}, {json_hash(edge_names)} AS _row_hash, g AS source_group FROM edge_null"
+    s["csv_edge_cases"] = f"{with_(FIXTURE_BASE, edge)} {edge_rows} UNION ALL {edge_rows} WHERE k = 15"
     in_file = "count(*) AS n FROM raw WHERE _source_file ="
     s["landing_rejects"] = (
         f"{with_(FIXTURE_BASE)} SELECT 'a' AS source_group, 'landed' AS outcome, {in_file} 'orders_2001-05-31.csv' "
@@ -488,6 +506,15 @@ FROM raw"""
         f"UNION ALL SELECT 'c', 'unknown columns: [''coupon'']', CAST(least(count(*), 1) AS BIGINT) AS n "
         f"FROM raw WHERE _source_file = 'orders_2001-06-01b.csv'"
     )
+    # Stored metrics: landing and gold run of the same landed rows.
+    day_m = staged_ctes("csvraw", AS_OF, "d")
+    s["run_metrics"] = (
+        f"{with_(FIXTURE_BASE, n_cte, landed, day_m)} SELECT 'landing' AS kind, 'rows_landed' AS metric, count(*) AS value FROM csvraw "
+        f"UNION ALL SELECT 'gold', 'staged_rows', count(*) FROM d_staged "
+        f"UNION ALL SELECT 'gold', 'gold_appended', count(*) FROM d_staged WHERE is_valid "
+        f"UNION ALL SELECT 'gold', 'quarantined', count(*) FROM d_staged WHERE NOT is_valid "
+        f"UNION ALL SELECT 'ledger', _source_file, count(*) FROM csvraw GROUP BY _source_file"
+    )
     s["batch_replace"] = (
         f"{with_(FIXTURE_BASE)} SELECT {', '.join(BUSINESS_COLUMNS)}, _row_hash, '2001-07-01' AS load_day "
         f"FROM raw WHERE _source_file = 'orders_2001-05-31.csv'"

@@ -63,11 +63,13 @@ def main(argv: list[str] | None = None) -> int:
     lake = Lakehouse(args.lake.rstrip("/"))
 
     if args.cmd == "ingest":
-        res = ingest_csv(spark, args.landing, lake.raw, args.loaded_at, batch_id=args.batch_id, strict=args.strict, rejects_path=lake.landing_rejects)
+        res = ingest_csv(spark, args.landing, lake.raw, args.loaded_at, batch_id=args.batch_id, strict=args.strict, rejects_path=lake.landing_rejects, ledger_path=lake.landed_files, metrics_path=lake.run_metrics)
         out = {
             "batch_id": res.batch_id,
-            "files": len(res.files),
+            "files": res.files,
             "rejected": res.rejected,
+            "skipped": res.skipped,
+            "rejects_table": lake.landing_rejects,
             "rows_landed": res.rows_landed,
             "load_dates": [d.isoformat() for d in res.load_dates],
         }

@@ -72,17 +72,21 @@ def _plain_json_string(c: Column) -> Column:
 _ANY_ESCAPE = r'[^ -~]|["\\]'
 
 
-def json_row_hash(fields: Mapping[str, Column]) -> Column:
+def json_row_hash(fields: Mapping[str, Column], present: Mapping[str, Column] | None = None) -> Column:
     """md5 hex of ``json.dumps({name: value, ...}, sort_keys=True)`` for string values.
 
     One regex test per row decides whether any value needs escaping; only such rows
-    take the per-value escaping path.
+    take the per-value escaping path. ``present`` tells per row which names the dict has
+    (all, if not given).
     """
     names = sorted(fields)
     if not names:
         return F.md5(F.lit("{}"))
 
     def render(to_json) -> Column:
+        if present is not None:
+            pairs = [F.when(present[n], F.concat(F.lit(json.dumps(n) + ": "), to_json(fields[n]))) for n in names]
+            return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
         parts: list[Column] = []
         for i, name in enumerate(names):
             key = ("" if i == 0 else ", ") + json.dumps(name) + ": "

@@ -32,6 +32,7 @@ from quayside.operators.checklog import check_log
 from quayside.operators.checks import DEDUPE_ORDER, stage
 from quayside.operators.dedupe import ROW_ID_COLUMNS
 from quayside.operators.route import gold_rows, quarantine_rows, skip_already_loaded, ts_lit
+from quayside.plans.metrics import write_metrics
 from quayside.plans.observed import observed_metrics
 from quayside.schema import GOLD_SCHEMA
 from quayside.session import Lakehouse, hadoop_path
@@ -130,12 +131,15 @@ def run_gold(
     for path in {f.rsplit("/", 1)[0] for f in st.inputFiles()}:  # this run's own staging folder
         fs, folder = hadoop_path(spark, path)
         fs.delete(folder, True)
-    return GoldRunResult(
+    result = GoldRunResult(
         as_of=day,
         staged_rows=_observed(staged_obs),
         gold_appended=_observed(gold_obs),
         quarantined=_observed(quarantine_obs),
     )
+    values = {"staged_rows": result.staged_rows, "gold_appended": result.gold_appended, "quarantined": result.quarantined}
+    write_metrics(spark, lake.run_metrics, "gold", f"gold-{day.isoformat()}", run_ts, values)
+    return result
 
 
 __all__ = ["GoldRunResult", "chosen_before", "stage_to_storage", "run_gold"]

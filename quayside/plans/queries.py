@@ -32,12 +32,13 @@ from quayside.schema import (
     RECONCILIATION_CHECK,
 )
 from quayside.plans.ingest import ingest_csv
+from quayside.plans.metrics import read_metrics
 from quayside.session import Lakehouse, scratch_path
 from quayside.sources.csv_files import write_csv
 from quayside.streaming.ingest_stream import start_ingest_stream
 from quayside.sinks.tables import read_check_log, read_gold, read_quarantine
 from quayside.sources.fixture import FIXTURE_AS_OF, FIXTURE_PREV_DAY
-from quayside.sources.raw_table import append_raw, fixture_raw_table, land_fixture, raw_day, read_raw, read_rejects
+from quayside.sources.raw_table import append_raw, fixture_raw_table, land_fixture, raw_day, read_ledger, read_raw, read_rejects
 
 AS_OF = FIXTURE_AS_OF
 PREV_DAY = FIXTURE_PREV_DAY
@@ -256,7 +257,11 @@ def q_rerun_day(spark, sf_dir):
 # The fixture's three load files become three CSV folders with different headers:
 # a = standard order; b = reversed order, upper-case padded names; c = no customer_state.
 CSV_GROUPS = (("a", "orders_2001-05-31.csv"), ("b", "orders_2001-06-01a.csv"), ("c", "orders_2001-06-01b.csv"))
-CSV_FILES_PER_GROUP = 4
+
+
+def spark_tasks(df: DataFrame) -> int:
+    """Tasks that a write of a whole table is dealt to: the session's shuffle partitions."""
+    return max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _group_frame(raw: DataFrame, group: str, source: str) -> DataFrame:
@@ -267,8 +272,10 @@ def _group_frame(raw: DataFrame, group: str, source: str) -> DataFrame:
         cols = [F.col(c).alias(f" {c.upper()} ") for c in reversed(BUSINESS_COLUMNS)]
     else:
         cols = [F.col(c) for c in BUSINESS_COLUMNS if c != "customer_state"]
-    # All rows of one order id go to one file, so file-name tie-breaks never decide.
-    return rows.repartition(CSV_FILES_PER_GROUP, "order_id").select(*cols)
+    # All rows of one order id go to one file, so file-name tie-breaks never decide; ids that
+    # are null or blank are dealt by row, as no tie of theirs is ever kept.
+    dealt = F.when(F.trim("order_id") != "", F.xxhash64("order_id")).otherwise(F.xxhash64("_row_hash"))
+    return rows.repartition(spark_tasks(rows), dealt).select(*cols)
 
 
 def _write_fixture_csvs(spark, sf_dir, landing: str, groups=("a", "b", "c")) -> None:
@@ -331,15 +338,102 @@ def q_landing_rejects(spark, sf_dir):
     """Files of group c get a column that raw does not have: they are recorded, the others land."""
     landing, lake = scratch_path(spark, "stream-landing"), Lakehouse.fresh(spark, "lake")
     _write_fixture_csvs(spark, sf_dir, landing, groups=("a", "b"))
-    bad = _raw(spark, sf_dir).where(F.col("_source_file") == CSV_GROUPS[2][1]).select(*BUSINESS_COLUMNS, F.lit("x").alias("coupon"))
-    write_csv(bad.coalesce(1), f"{landing}/c")
+    bad = _group_frame(_raw(spark, sf_dir), "a", CSV_GROUPS[2][1]).withColumn("coupon", F.lit("x"))
+    write_csv(bad, f"{landing}/c")
     _stream(spark, landing, lake, scratch_path(spark, "stream-checkpoint"))
     rejects = _with_group(read_rejects(spark, lake.landing_rejects).withColumnRenamed("path", "_source_file"))
-    refused = rejects.groupBy("source_group", F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    refused = rejects.groupBy("source_group", F.col("reason").alias("outcome")).agg(F.count_distinct("source_group").alias("n"))
     landed = _with_group(read_raw(spark, lake.raw)).groupBy("source_group").agg(F.count(F.lit(1)).alias("n"))
     return refused.unionByName(landed.select("source_group", F.lit("landed").alias("outcome"), "n"))
 
 
+# Headers of the edge-case files; raw has no rows beyond these columns there.
+EDGE_HEADERS = {
+    "a": "order_id,store_name,product_name,category",
+    "b": " Category ,Store_Name,order_id,PRODUCT_NAME",
+    "c": "order_id,product_name,product_name,store_name,category",
+}
+
+
+def _edge_lines(rows: DataFrame, group: str) -> DataFrame:
+    """A line per raw row in one of sixteen forms, picked by the first digit of its hash.
+
+    Quotes around, inside and behind values, doubled, spaced and left open; rows too short
+    and too long; lines of only white space; and two rows in one line of text, parted by a
+    line break that the text source does not cut at.
+    """
+    kind = F.instr(F.lit("0123456789abcdef"), F.substring("_row_hash", 1, 1)) - 1
+    o, s, p, c = (F.coalesce(F.col(x), F.lit("")) for x in ("order_id", "store_name", "product_name", "category"))
+    forms = {
+        1: F.concat(F.lit('"'), p, F.lit('"')),
+        2: F.concat(F.lit('"'), p, F.lit(', ""x"""')),
+        3: F.concat(F.lit('"'), p, F.lit('"tail')),
+        4: F.concat(F.lit("x"), p, F.lit('"q"')),
+        5: F.concat(F.lit(' "'), p, F.lit('"')),
+        6: F.concat(F.lit('"'), p, F.lit('"a"b')),
+        7: F.lit('""'),
+        8: F.lit('""""'),
+        9: F.lit('"NA"'),
+    }
+    product = p
+    for k, form in forms.items():
+        product = F.when(kind == k, form).otherwise(product)
+    last = F.when(kind == 11, F.concat(F.lit(',"'), c, F.lit(", more"))).when(kind == 12, F.concat(F.lit(","), c, F.lit(",extra")))
+    last = last.when(kind == 13, F.lit("")).otherwise(F.concat(F.lit(","), c))
+    line = {
+        "a": F.concat(o, F.lit(","), s, F.lit(","), product, last),
+        "b": F.concat_ws(",", c, s, o, product),
+        "c": F.concat(o, F.lit(",zzz,"), product, F.lit(","), s, last),
+    }[group]
+    lines = F.when(kind == 14, F.array(line, F.lit("\u00a0 "))).when(kind == 15, F.array(F.concat(line, F.lit("\u2028"), line)))
+    dealt = rows.repartition(spark_tasks(rows), "_row_hash")
+    return dealt.select(F.explode(lines.otherwise(F.array(line))).alias(EDGE_HEADERS[group]))
+
+
+def q_csv_edge_cases(spark, sf_dir):
+    """Raw rows of files with three headers whose fields are quoted in every way that Python's csv reads."""
+    landing, lake = scratch_path(spark, "landing"), Lakehouse.fresh(spark, "lake")
+    raw = _raw(spark, sf_dir)
+    for g, source in CSV_GROUPS:
+        lines = _edge_lines(raw.where(F.col("_source_file") == source), g)
+        plain = {"header": "true", "quote": "", "sep": "\x01", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        lines.write.options(**plain).csv(f"{landing}/{g}")
+    ingest_csv(spark, landing, lake.raw, f"{AS_OF} 07:00:00", strict=True)
+    return _with_group(read_raw(spark, lake.raw)).select(
+        "order_id", "store_name", "product_name", "category", "_row_hash", "source_group"
+    )
+
+
+def q_stream_forgotten(spark, sf_dir):
+    """Files that the source passes by for their age, and files that it meets again, land once.
+
+    The second run has files a month older than the first run's, beyond the source's memory;
+    the third has a new checkpoint, to which all files are new.
+    """
+    landing, lake = scratch_path(spark, "stream-landing"), Lakehouse.fresh(spark, "lake")
+    ckpt = scratch_path(spark, "stream-checkpoint")
+    _write_fixture_csvs(spark, sf_dir, landing, groups=("a",))
+    _stream(spark, landing, lake, ckpt)
+    _write_fixture_csvs(spark, sf_dir, landing, groups=("b", "c"))
+    _age(spark, f"{landing}/b", 30)
+    _stream(spark, landing, lake, ckpt)
+    _stream(spark, landing, lake, scratch_path(spark, "stream-checkpoint"))
+    return _with_group(read_raw(spark, lake.raw)).select(*BUSINESS_COLUMNS, "_row_hash", "source_group")
+
+
+def q_run_metrics(spark, sf_dir):
+    """Stored metrics of a landing stream and of the day's gold run, and the ledger's rows per group."""
+    landing, lake = scratch_path(spark, "stream-landing"), Lakehouse.fresh(spark, "lake")
+    _write_fixture_csvs(spark, sf_dir, landing)
+    _stream(spark, landing, lake, scratch_path(spark, "stream-checkpoint"))
+    run_gold(spark, lake, AS_OF, RUN_TS)
+    stored = read_metrics(spark, lake.run_metrics).where(~F.col("metric").startswith("files_"))
+    stored = stored.groupBy("kind", "metric").agg(F.sum("value").alias("value"))
+    ledger = _with_group(read_ledger(spark, lake.landed_files).withColumnRenamed("path", "_source_file"))
+    rows = ledger.groupBy("source_group").agg(F.sum("n_rows").alias("value"))
+    return stored.unionByName(rows.select(F.lit("ledger").alias("kind"), F.col("source_group").alias("metric"), "value"))
+
+
 def q_batch_replace(spark, sf_dir):
     """A batch id used again, for another load day and fewer rows, leaves only the last batch."""
     lake = Lakehouse.fresh(spark, "lake")
@@ -422,6 +516,9 @@ QUERIES: dict[str, Query] = {
     "stream_gold": q_stream_gold,
     "stream_late_file": q_stream_late_file,
     "landing_rejects": q_landing_rejects,
+    "csv_edge_cases": q_csv_edge_cases,
+    "stream_forgotten": q_stream_forgotten,
+    "run_metrics": q_run_metrics,
     "batch_replace": q_batch_replace,
     "quarantine_written": q_quarantine_written,
 }

@@ -103,14 +103,25 @@ def hadoop_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this application wrote; nothing if it is not there."""
+    fs, folder = hadoop_path(spark, path)
+    fs.delete(folder, True)
+
+
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by the Python workers (once per application).
 
-    Only the CSV header helper runs Python inside tasks; its function is pickled by
-    reference, so workers must be able to import ``quayside``. The package is zipped
+    Operators that run Python inside tasks pickle functions by reference, so workers must
+    be able to import ``quayside``. The package is zipped
     on the driver and distributed with ``SparkContext.addPyFile`` (harmless where it
     is already installed on the cluster image or passed with --py-files).
     """
@@ -153,6 +164,14 @@ class Lakehouse:
     def landing_rejects(self) -> str:
         return f"{self.root}/landing_rejects"
 
+    @property
+    def landed_files(self) -> str:
+        return f"{self.root}/landed_files"
+
+    @property
+    def run_metrics(self) -> str:
+        return f"{self.root}/run_metrics"
+
     @property
     def check_log(self) -> str:
         return f"{self.root}/gold/dq_run_log"
@@ -182,6 +201,8 @@ __all__ = [
     "checkpoint_root",
     "scratch_path",
     "hadoop_path",
+    "drop_folder",
+    "path_exists",
     "ship_package",
     "Lakehouse",
     "local_path",

@@ -15,7 +15,6 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from quayside.schema import (
     CHECK_LOG_SCHEMA,
@@ -23,6 +22,7 @@ from quayside.schema import (
     QUARANTINE_COLUMNS,
     QUARANTINE_DATE,
 )
+from quayside.session import path_exists
 
 GOLD_CLUSTER = ("order_date", "store_name", "category")
 
@@ -100,10 +100,7 @@ def write_check_log(rows: DataFrame, path: str) -> None:
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return None
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame | None:

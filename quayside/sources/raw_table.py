@@ -13,11 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from quayside.operators.checks import as_date_lit
 from quayside.schema import LOAD_DATE, RAW_SCHEMA
-from quayside.session import scratch_path
+from quayside.session import path_exists, scratch_path
 from quayside.sources.fixture import fixture_raw_orders, with_load_date
 
 BATCH = "_batch"
@@ -81,28 +80,46 @@ REJECTS_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType(), True) for c in ("path", "reason", BATCH)]
 )
 
+#: The ledger of landed files: a row per file and batch that met it.
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType(), True),
+        T.StructField("n_rows", T.LongType(), True),
+        T.StructField("reason", T.StringType(), True),
+        T.StructField("loaded_at", T.TimestampType(), True),
+        T.StructField(BATCH, T.StringType(), True),
+    ]
+)
+
+
+def batch_folder(spark: SparkSession, table: str, batch_id: str) -> str:
+    """A batch's partition folder of a table that is partitioned by batch alone."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)
+    return f"{table.rstrip('/')}/{BATCH}={name}"
+
+
+def replace_batch(rows: DataFrame, table: str, batch_id: str) -> None:
+    """Write a batch's rows of a small table, in place of what an earlier run of the batch left."""
+    rows.write.mode("overwrite").parquet(batch_folder(rows.sparkSession, table, batch_id))
 
-def write_rejects(spark: SparkSession, path: str, batch_id: str, rejected: list[tuple[str, str]]) -> None:
-    """Record the files of a batch that could not be landed; a replayed batch replaces its own."""
-    if rejected:
-        rows = spark.createDataFrame([(p, why, batch_id) for p, why in rejected], REJECTS_SCHEMA)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """(path, reason, _batch) of files that could not be landed (empty if there are none)."""
-    try:
-        return spark.read.schema(REJECTS_SCHEMA).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], REJECTS_SCHEMA)
+    return _read_or_empty(spark, path, REJECTS_SCHEMA)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger of landed files (empty before the first batch)."""
+    return _read_or_empty(spark, path, LEDGER_SCHEMA)
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
     """The raw table (empty with the right schema if nothing has landed yet)."""
-    try:
-        return spark.read.schema(RAW_TABLE_SCHEMA).parquet(raw_path)
-    except AnalysisException:
-        return spark.createDataFrame([], RAW_TABLE_SCHEMA)
+    return _read_or_empty(spark, raw_path, RAW_TABLE_SCHEMA)
 
 
 def read_raw_day(spark: SparkSession, raw_path: str, as_of: dt.date | str) -> DataFrame:
@@ -112,15 +129,10 @@ def read_raw_day(spark: SparkSession, raw_path: str, as_of: dt.date | str) -> Da
     other days (years of daily batch folders on a long-lived table).
     """
     day = as_of.isoformat() if isinstance(as_of, dt.date) else str(as_of)
-    try:
-        df = (
-            spark.read.schema(RAW_TABLE_SCHEMA)
-            .option("basePath", raw_path)
-            .parquet(f"{raw_path.rstrip('/')}/{LOAD_DATE}={day}")
-        )
-    except AnalysisException:
+    folder = f"{raw_path.rstrip('/')}/{LOAD_DATE}={day}"
+    if not path_exists(spark, folder):
         return spark.createDataFrame([], RAW_TABLE_SCHEMA)
-    return raw_day(df, day)
+    return raw_day(spark.read.schema(RAW_TABLE_SCHEMA).option("basePath", raw_path).parquet(folder), day)
 
 
 def raw_day(raw: DataFrame, as_of: dt.date | str) -> DataFrame:
@@ -155,7 +167,12 @@ def fixture_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = [
     "BATCH",
+    "LEDGER_SCHEMA",
     "RAW_TABLE_SCHEMA",
+    "batch_folder",
+    "read_ledger",
+    "read_rejects",
+    "replace_batch",
     "append_raw",
     "read_raw",
     "raw_day",

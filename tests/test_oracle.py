@@ -8,9 +8,12 @@ import pytest
 import __spark_entry__ as E
 from scripts.check_oracle import TABLES, digest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
-KEYS = sorted(E.queries())
+from quayside.plans.queries import QUERIES
+
+SQL = E.oracle_sql()
+KEYS = sorted(SQL)
 
 
 @pytest.fixture(scope="module")
@@ -23,16 +26,15 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle():
-    assert sorted(E.oracle_sql()) == KEYS
-    assert len(KEYS) == 29
+def test_every_order_query_has_an_oracle():
+    assert set(QUERIES) <= set(SQL) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    res = duck.sql(E.oracle_sql()[key])
+    res = duck.sql(SQL[key])
     assert sorted(df.columns) == sorted(res.columns)
     o_rows = res.fetchall()
     assert len(rows) == len(o_rows)
