@@ -233,7 +233,7 @@ def cell_links(ids: np.ndarray, side: np.ndarray, tokens: list[np.ndarray], perc
     flat, row = flat[order], row[order]
     start = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
     df = np.diff(np.append(start, len(flat)))
-    overlap = np.zeros((n, n), np.float32)
+    overlap = np.zeros((n, n), np.int64)
     for d in range(2, RARE + 1):  # n-grams of few documents: their pairs
         at = start[df == d]
         holders = row[at[:, None] + np.arange(d)]
@@ -249,7 +249,7 @@ def cell_links(ids: np.ndarray, side: np.ndarray, tokens: list[np.ndarray], perc
         counts = df[grams]
         places = np.repeat(start[grams] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
         held[row[places], np.repeat(np.arange(len(grams)), counts)] = 1
-        overlap += held @ held.T
+        overlap += (held @ held.T).astype(np.int64)  # exact: a fragment has far fewer than 2^24 n-grams
     both = sizes[:, None] + sizes[None, :]
     linked = (overlap > 0) & (100 * overlap >= percent * (both - overlap))
     if side.any():

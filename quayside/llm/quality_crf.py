@@ -11,8 +11,8 @@ Training uses at most ``train_docs`` labelled documents, those with the smallest
 of their id; their binned features, not their texts, reach the driver. Scoring is one
 pass over all whole texts without a shuffle; only model weights are sent out.
 
-Defined results: texts null, empty or of blank lines only get the training sample's share
-of good documents, and 0.5 if there are no labels; null ids are scored like others, and
+Defined results: texts null, empty or of blank lines only get the share of good documents
+among such texts of the training sample, and 0 if it has none; with no labels others get 0.5; null ids are scored like others, and
 are never trained on; of several labels of an id the least counts; rows with equal ids
 are scored each; other columns are ignored.
 """
@@ -40,7 +40,6 @@ LENGTH_EDGES = np.array([8, 20, 50, 120, 300, 800, 2500])
 WORD_EDGES = np.array([2.0, 3.0, 4.0, 5.0, 6.5, 8.0, 11.0])
 BINS = len(SHARE_EDGES) + 2  # the last one: no such neighbour
 FEATURES = 10
-LONG_LINE = 1 << 20
 _SPACE = b" \t\n\v\f\r"
 _SIGNS = b"#$%&*+/<=>@[\\]^_`{|}~"
 
@@ -64,7 +63,7 @@ def _masks() -> dict[str, np.ndarray]:
 
 
 MASK = _masks()
-_FIELD = 21
+_FIELD = 32  # bits of a count: lines may have any length
 
 
 def _packed(*names: str) -> np.ndarray:
@@ -74,7 +73,7 @@ def _packed(*names: str) -> np.ndarray:
     return table
 
 
-_LETTERS, _OTHERS = _packed("upper", "letter", "digit"), _packed("sign", "space")
+_LETTERS, _OTHERS = _packed("upper", "letter"), _packed("digit", "sign")
 _BYTE_HASH = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0x5851F42D4C957F2D)
 _BYTE_HASH[MASK["space"]] = 0
 
@@ -89,16 +88,10 @@ def line_bins(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     begin[1:] |= data == 10
     starts = np.flatnonzero(begin[:n])
     sizes = np.diff(np.append(starts, n))
-    if sizes.max() > LONG_LINE:
-        for k in np.flatnonzero(sizes > LONG_LINE):
-            begin[np.arange(starts[k], starts[k] + sizes[k], LONG_LINE)] = True
-        starts = np.flatnonzero(begin[:n])
-        sizes = np.diff(np.append(starts, n))
     lengths = sizes - (data[starts + sizes - 1] == 10)
     field = np.uint64((1 << _FIELD) - 1)
     one, two = np.add.reduceat(_LETTERS[data], starts), np.add.reduceat(_OTHERS[data], starts)
-    upper, letter, digit = (((one >> np.uint64(_FIELD * k)) & field).astype(float) for k in range(3))
-    sign = (two & field).astype(float)
+    upper, letter, digit, sign = (((v >> np.uint64(_FIELD * k)) & field).astype(float) for v in (one, two) for k in range(2))
 
     space = MASK["space"][data]
     first = ~space
@@ -163,6 +156,7 @@ class Model:
     slope: float
     shift: float
     base: float
+    empty: float  # score of texts without lines
 
 
 def chains(score: np.ndarray, chain: np.ndarray, pairs: np.ndarray):
@@ -207,9 +201,12 @@ def chains(score: np.ndarray, chain: np.ndarray, pairs: np.ndarray):
 def fit(bins: np.ndarray, lengths: np.ndarray, doc: np.ndarray, label: np.ndarray, steps: int = STEPS) -> Model:
     """Model of documents 0.. with these labels; doc: the document of each line, in order."""
     n_weights = 3 * FEATURES * BINS
-    model = Model(np.zeros(n_weights), np.zeros((2, 2)), 1.0, 0.0, float(label.mean()) if len(label) else 0.5)
+    lined = np.zeros(len(label), bool)
+    lined[doc] = True
+    empty = float(label[~lined].mean()) if len(label) and not lined.all() else 0.0
+    model = Model(np.zeros(n_weights), np.zeros((2, 2)), 1.0, 0.0, float(label.mean()) if len(label) else 0.5, empty)
     if not len(doc) or label.min() == label.max():
-        return Model(np.zeros(n_weights), np.zeros((2, 2)), 0.0, _logit(model.base), model.base)
+        return Model(np.zeros(n_weights), np.zeros((2, 2)), 0.0, _logit(model.base), model.base, empty)
     first = np.searchsorted(doc, doc, side="left")
     chain = doc * (1 << 32) + (np.arange(len(doc)) - first) // CHAIN
     numbers = neighbour_bins(bins, doc)
@@ -314,7 +311,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             bins, lengths, doc = line_bins(*text_buffer(batch.column(1)))
             quality = document_quality(model, bins, lengths, doc, batch.num_rows)
             chance = 1 / (1 + np.exp(-(model.slope * _logit(quality) + model.shift)))
-            chance = np.where(np.isnan(quality), model.base, chance)
+            chance = np.where(np.isnan(quality), model.empty, chance)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chance)], ["doc_id", "score"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
@@ -331,7 +328,7 @@ def keep(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
             bins, lengths, doc = line_bins(*text_buffer(batch.column(at)))
             quality = document_quality(model, bins, lengths, doc, batch.num_rows)
             chance = 1 / (1 + np.exp(-(model.slope * _logit(quality) + model.shift)))
-            chance = np.where(np.isnan(quality), model.base, chance)
+            chance = np.where(np.isnan(quality), model.empty, chance)
             yield batch.filter(pa.array(chance >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
