@@ -399,6 +399,19 @@ def build() -> dict[str, str]:
         f"WHERE NOT EXISTS (SELECT 1 FROM gold_prev x WHERE x.order_date = g.order_date AND x._row_hash = g._row_hash))"
     )
     gold_all = "gold_all AS (SELECT * FROM gold_prev UNION ALL SELECT * FROM gold_new)"
+    n_logged = len(LOGGED) + 1
+    two_days = with_(FIXTURE_BASE, prev, day, gold_prev, gold_new)
+    n_of = "CAST(count(*) AS BIGINT) AS row_count FROM"
+    s["run_marker"] = (
+        f"{two_days} SELECT 'broken off' AS phase, 'gold' AS table_name, {n_of} gold_prev "
+        f"UNION ALL SELECT 'broken off', 'quarantine', {n_of} p_staged WHERE NOT is_valid "
+        f"UNION ALL SELECT 'broken off', 'check_log', CAST({n_logged} AS BIGINT) "
+        f"UNION ALL SELECT 'run again', 'gold', {n_of} (SELECT 1 FROM gold_prev UNION ALL SELECT 1 FROM gold_new) "
+        f"UNION ALL SELECT 'run again', 'quarantine', {n_of} "
+        f"(SELECT 1 FROM p_staged WHERE NOT is_valid UNION ALL SELECT 1 FROM d_staged WHERE NOT is_valid) "
+        f"UNION ALL SELECT 'run again', 'check_log', CAST({2 * n_logged} AS BIGINT)"
+    )
+    s["compact_gold"] = f"{two_days} SELECT * FROM gold_prev UNION ALL SELECT * FROM gold_new"
     a1, b1 = log_select("p_staged", PREV_DAY, PREV_RUN_TS, LOGGED, "SELECT count(*) FROM gold_prev", raw_n)
     a2, b2 = log_select("d_staged", AS_OF, RUN_TS, LOGGED, "SELECT count(*) FROM gold_all", raw_n)
     s["check_log_history"] = (

@@ -1,19 +1,18 @@
-"""The daily gold run: stage a load day, then quarantine, gold and the check log.
-
-Order and rerun safety (no transactions across tables):
+"""The daily gold run: stage a load day, then quarantine, gold, the check log and the commit.
 
 1. Stage the day's raw partition once (casts, duplicate marking, eight checks) and
    write it to a folder of this run; steps 2-4 read that copy, so the numbering shuffle
    runs once and a lost executor never changes which row won. The folder goes when the
-   run ends. On a day that ran before, the rows of the day that are in gold keep their
-   place: a file landed since then cannot put a second row of their order id into gold.
-2. Quarantine: replace the run day's partition with the day's rejected rows. It is
-   written before gold, so no day has gold rows without that partition: where there is
-   none, the day has not run, and step 1 need not look into gold.
-3. Gold: append valid rows whose row hash is not in gold yet. A rerun, or a rerun
-   after a crash part-way through this write, appends only what is missing.
-4. Check log: replace the run day's rows (one aggregate over the staged copy plus the
-   all-time gold/raw reconciliation).
+   run ends, also if it fails. On a day that ran before over other raw files, the rows of the
+   day that are in gold keep their place: a file landed since then cannot put a second row of
+   their order id into gold.
+2. Quarantine: the day's rejected rows, in place of those of the day's last run.
+3. Gold: append valid rows whose row hash is not in gold yet. If the day ran before over
+   the very files that raw has now, all its rows are there: gold is neither read nor written.
+4. Check log: the run day's rows (one aggregate over the staged copy, and the counts that
+   gold's commits and raw's batches keep; ``recount`` counts both tables anew).
+5. Commit: one record, which makes the rows of 2-4 count (see ``sinks.tables``). A run that
+   breaks off before it leaves nothing that a reader sees, and is simply run again.
 
 ``as_of`` (the run day) and ``run_ts`` (the run's timestamp) are parameters, never
 clock reads, so any day can be re-run or back-filled.
@@ -22,7 +21,7 @@ clock reads, so any day can be re-run or back-filled.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -34,17 +33,20 @@ from quayside.operators.dedupe import ROW_ID_COLUMNS
 from quayside.operators.route import gold_rows, quarantine_rows, skip_already_loaded, ts_lit
 from quayside.plans.metrics import write_metrics
 from quayside.plans.observed import observed_metrics
-from quayside.schema import GOLD_SCHEMA
-from quayside.session import Lakehouse, hadoop_path
+from quayside.schema import GOLD_SCHEMA, QUARANTINE_DATE
+from quayside.session import Lakehouse, drop_folder
 from quayside.sinks.tables import (
+    commit_run,
+    drop_replaced,
+    new_run,
     or_empty,
-    quarantine_folder,
+    read_commits,
     read_gold,
     write_check_log,
     write_gold,
     write_quarantine,
 )
-from quayside.sources.raw_table import raw_day, read_raw, read_raw_day
+from quayside.sources.raw_table import raw_day, raw_row_count, read_raw, read_raw_day
 
 
 @dataclass
@@ -64,20 +66,25 @@ def _day(as_of: dt.date | str) -> dt.date:
     return as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
 
 
-def chosen_before(spark: SparkSession, lake: Lakehouse, day: dt.date) -> DataFrame | None:
-    """The numbering columns of gold rows loaded on the day; None if the day has not run.
+def raw_state(raw: DataFrame) -> str:
+    """A digest of the raw files of a day: equal only if no batch was added, replaced or removed."""
+    return hashlib.sha256("\n".join(sorted(raw.inputFiles())).encode()).hexdigest()
+
+
+def chosen_before(gold: DataFrame, day: dt.date) -> DataFrame:
+    """The numbering columns of gold rows loaded on the day.
 
     The load-time filter reaches the Parquet scan: files of other days' runs are skipped
     by their statistics.
     """
-    fs, folder = hadoop_path(spark, quarantine_folder(lake.quarantine, day))
-    gold = read_gold(spark, lake.gold) if fs.exists(folder) else None
-    if gold is None:
-        return None
     start, end = (ts_lit(f"{d.isoformat()} 00:00:00") for d in (day, day + dt.timedelta(days=1)))
     return gold.where((F.col("_loaded_at") >= start) & (F.col("_loaded_at") < end)).select(*DEDUPE_ORDER)
 
 
+def staging_folder(lake: Lakehouse, day: dt.date, run: str) -> str:
+    return f"{lake.staging}/run_date={day.isoformat()}/{run}"
+
+
 def stage_to_storage(
     spark: SparkSession,
     raw: DataFrame,
@@ -85,6 +92,7 @@ def stage_to_storage(
     as_of: dt.date | str,
     kept: DataFrame | None = None,
     observation: Observation | None = None,
+    run: str | None = None,
 ) -> DataFrame:
     """Stage the run day, write it to a folder of its own under the staging folder; return the copy.
 
@@ -92,7 +100,7 @@ def stage_to_storage(
     set bounded by the calendar: they are no later than the run day, with four-digit years.
     """
     day = _day(as_of)
-    path = f"{lake.staging}/run_date={day.isoformat()}/{uuid.uuid4().hex}"
+    path = staging_folder(lake, day, run or new_run(day))
     staged = stage(raw_day(raw, day), day, kept=kept).drop(*ROW_ID_COLUMNS)
     if observation is not None:
         dates = F.collect_set(F.when(F.col("is_valid"), F.col("order_date_cast")))
@@ -108,38 +116,55 @@ def run_gold(
     run_ts: dt.datetime | str,
     *,
     all_eight: bool = False,
+    recount: bool = False,
 ) -> GoldRunResult:
     """Run the gold pipeline for one load day (idempotent; see module docstring)."""
     day = _day(as_of)
+    commits = read_commits(spark, lake.gold)
+    raw = read_raw_day(spark, lake.raw, day)
+    state = raw_state(raw)
+    before = [c for c in commits if c.as_of == day]
+    # The same files as when the day first ran: its numbering needs no gold, and gold has its rows.
+    unchanged = bool(before) and all(c.raw_state == state for c in before)
+    gold = None if unchanged else read_gold(spark, lake.gold)
+    kept = chosen_before(gold, day) if before and gold is not None else None
+
+    run = new_run(day)
     gold_obs, quarantine_obs, staged_obs = Observation("gold"), Observation("quarantine"), Observation("staged")
-    # Only the run day's raw folder is listed for staging; the all-time raw count
-    # (reconciliation) reads file footers only.
-    kept = chosen_before(spark, lake, day)
-    st = stage_to_storage(spark, read_raw_day(spark, lake.raw, day), lake, day, kept, staged_obs)
-
-    rejected = quarantine_rows(st, run_ts, day)
-    write_quarantine(rejected.observe(quarantine_obs, F.count(F.lit(1)).alias("n")), lake.quarantine, day)
-
-    dates = sorted(observed_metrics(staged_obs).get("dates") or [])
-    new_gold = skip_already_loaded(gold_rows(st, run_ts), read_gold(spark, lake.gold), dates)
-    write_gold(new_gold.observe(gold_obs, F.count(F.lit(1)).alias("n")), lake.gold)
-
-    gold_now = or_empty(spark, read_gold(spark, lake.gold), GOLD_SCHEMA)
-    log = check_log(st, gold_now, read_raw(spark, lake.raw), day, run_ts, all_eight)
-    write_check_log(log, lake.check_log)
+    try:
+        # Only the run day's raw folder is listed for staging.
+        st = stage_to_storage(spark, raw, lake, day, kept, staged_obs, run)
+
+        rejected = quarantine_rows(st, run_ts, day).observe(quarantine_obs, F.count(F.lit(1)).alias("n"))
+        write_quarantine(rejected, lake.quarantine, day, run)
+
+        appended = 0
+        if not unchanged:
+            dates = sorted(observed_metrics(staged_obs).get("dates") or [])
+            new_gold = skip_already_loaded(gold_rows(st, run_ts), gold, dates)
+            write_gold(new_gold.observe(gold_obs, F.count(F.lit(1)).alias("n")), lake.gold, run)
+            appended = _observed(gold_obs)
+
+        if recount:
+            mine = spark.range(appended).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in GOLD_SCHEMA.fields])
+            gold_now = mine.unionByName(or_empty(spark, read_gold(spark, lake.gold), GOLD_SCHEMA))
+            log = check_log(st, gold_now, read_raw(spark, lake.raw), day, run_ts, all_eight)
+        else:
+            known = (sum(c.gold_appended for c in commits) + appended, raw_row_count(spark, lake.raw))
+            log = check_log(st, None, None, day, run_ts, all_eight, known)
+        write_check_log(log, lake.check_log, day, run)
+    finally:
+        drop_folder(spark, staging_folder(lake, day, run))
 
-    for path in {f.rsplit("/", 1)[0] for f in st.inputFiles()}:  # this run's own staging folder
-        fs, folder = hadoop_path(spark, path)
-        fs.delete(folder, True)
     result = GoldRunResult(
-        as_of=day,
-        staged_rows=_observed(staged_obs),
-        gold_appended=_observed(gold_obs),
-        quarantined=_observed(quarantine_obs),
+        as_of=day, staged_rows=_observed(staged_obs), gold_appended=appended, quarantined=_observed(quarantine_obs)
     )
-    values = {"staged_rows": result.staged_rows, "gold_appended": result.gold_appended, "quarantined": result.quarantined}
+    commit_run(spark, lake.gold, run, day, appended, result.quarantined, state)
+    drop_replaced(spark, lake.quarantine, QUARANTINE_DATE, day, run)
+    drop_replaced(spark, lake.check_log, "run_date", day, run)
+    values = {"staged_rows": result.staged_rows, "gold_appended": appended, "quarantined": result.quarantined}
     write_metrics(spark, lake.run_metrics, "gold", f"gold-{day.isoformat()}", run_ts, values)
     return result
 
 
-__all__ = ["GoldRunResult", "chosen_before", "stage_to_storage", "run_gold"]
+__all__ = ["GoldRunResult", "chosen_before", "raw_state", "stage_to_storage", "run_gold"]

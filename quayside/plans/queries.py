@@ -36,7 +36,14 @@ from quayside.plans.metrics import read_metrics
 from quayside.session import Lakehouse, scratch_path
 from quayside.sources.csv_files import write_csv
 from quayside.streaming.ingest_stream import start_ingest_stream
-from quayside.sinks.tables import read_check_log, read_gold, read_quarantine
+from quayside.sinks.tables import (
+    compact_gold,
+    read_check_log,
+    read_gold,
+    read_quarantine,
+    write_gold,
+    write_quarantine,
+)
 from quayside.sources.fixture import FIXTURE_AS_OF, FIXTURE_PREV_DAY
 from quayside.sources.raw_table import append_raw, fixture_raw_table, land_fixture, raw_day, read_ledger, read_raw, read_rejects
 
@@ -252,6 +259,42 @@ def q_rerun_day(spark, sf_dir):
     return read_gold(spark, lake.gold).select(*GOLD_COLUMNS)
 
 
+def _table_counts(spark, lake: Lakehouse, phase: str) -> DataFrame:
+    """Rows of the three tables as a reader finds them."""
+    frames = {"gold": read_gold, "quarantine": read_quarantine, "check_log": read_check_log}
+    paths = {"gold": lake.gold, "quarantine": lake.quarantine, "check_log": lake.check_log}
+    counts = [
+        read(spark, paths[k]).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(phase).alias("phase"), F.lit(k).alias("table_name"), "row_count"
+        )
+        for k, read in frames.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def q_run_marker(spark, sf_dir):
+    """What readers see after a day's run, after the next day's run broke off before its commit, and after its rerun."""
+    lake = _lake_on_fixture(spark, sf_dir)
+    run_gold(spark, lake, PREV_DAY, PREV_RUN_TS)
+    staged = _staged(spark, sf_dir)
+    write_quarantine(quarantine_rows(staged, RUN_TS, AS_OF), lake.quarantine, dt.date.fromisoformat(AS_OF), "broken")
+    write_gold(gold_rows(staged, RUN_TS), lake.gold, "broken")
+    broken = _table_counts(spark, lake, "broken off")
+    run_gold(spark, lake, AS_OF, RUN_TS)
+    return broken.unionByName(_table_counts(spark, lake, "run again"))
+
+
+def q_compact_gold(spark, sf_dir):
+    """Gold of two days' runs, compacted after each, the second day run again in between."""
+    lake = _lake_on_fixture(spark, sf_dir)
+    run_gold(spark, lake, PREV_DAY, PREV_RUN_TS)
+    compact_gold(spark, lake.gold)
+    run_gold(spark, lake, AS_OF, RUN_TS)
+    compact_gold(spark, lake.gold)
+    run_gold(spark, lake, AS_OF, RERUN_TS)
+    return read_gold(spark, lake.gold).select(*GOLD_COLUMNS)
+
+
 # ---- landing: CSV files and the file stream ---------------------------------------------
 
 # The fixture's three load files become three CSV folders with different headers:
@@ -509,6 +552,8 @@ QUERIES: dict[str, Query] = {
     "skip_already_loaded": q_skip_already_loaded,
     "late_file_rerun": q_late_file_rerun,
     "rerun_day": q_rerun_day,
+    "run_marker": q_run_marker,
+    "compact_gold": q_compact_gold,
     "raw_profile": q_raw_profile,
     "raw_preview": q_raw_preview,
     "csv_roundtrip": q_csv_roundtrip,

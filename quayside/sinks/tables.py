@@ -5,15 +5,24 @@
   order_date puts each day in one task and lets AQE split a hot day.
 * quarantine: partitioned by the run day; a run replaces only its own day.
 * check log: partitioned by run_date; a run replaces only its own day.
+
+Below that, every table has a folder per run. A run's rows count once its **commit** is
+there: one small record in ``run_commits`` beside the tables, written last, with the run's
+counts. Readers take gold of committed runs, and quarantine and check log of each day's last
+committed run, so a run that breaks off anywhere is never seen, and one commit shows all
+three tables at once. The commits (one row per run) are read by the driver; they become a
+partition filter. Gold's total is their sum: no file of gold is opened for it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.schema import (
@@ -22,7 +31,7 @@ from quayside.schema import (
     QUARANTINE_COLUMNS,
     QUARANTINE_DATE,
 )
-from quayside.session import path_exists
+from quayside.session import hadoop_path, path_exists
 
 GOLD_CLUSTER = ("order_date", "store_name", "category")
 
@@ -51,8 +60,76 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
                 spark.conf.set(k, v)
 
 
-def write_gold(rows: DataFrame, path: str) -> None:
-    """Append gold rows, one folder per order_date, clustered by store and category.
+RUN = "_run"
+
+COMMIT_SCHEMA = T.StructType(
+    [
+        T.StructField("seq", T.LongType(), True),
+        T.StructField("as_of", T.DateType(), True),
+        T.StructField("gold_appended", T.LongType(), True),
+        T.StructField("quarantined", T.LongType(), True),
+        T.StructField("raw_state", T.StringType(), True),
+        T.StructField("replaces", T.ArrayType(T.StringType()), True),
+        T.StructField(RUN, T.StringType(), True),
+    ]
+)
+
+
+# ---- commits -----------------------------------------------------------------------------
+
+
+def commits_path(table: str) -> str:
+    """Where the commits of the runs of a gold, quarantine or check-log table are."""
+    return f"{table.rstrip('/').rsplit('/', 1)[0]}/run_commits"
+
+
+def read_commits(spark: SparkSession, table: str) -> list[Row]:
+    """The committed runs in their order: a row per run, so a few thousand in ten years of days."""
+    path = commits_path(table)
+    if not path_exists(spark, path):
+        return []
+    return sorted(spark.read.schema(COMMIT_SCHEMA).parquet(path).collect(), key=lambda c: c.seq)
+
+
+def new_run(day: dt.date) -> str:
+    return f"{day.isoformat()}-{uuid.uuid4().hex[:12]}"
+
+
+def commit_run(
+    spark: SparkSession,
+    table: str,
+    run: str,
+    day: dt.date | None,
+    gold_appended: int,
+    quarantined: int,
+    raw_state: str = "",
+    replaces: list[str] | None = None,
+) -> None:
+    """Make a run's rows count, and gold rows of the runs it replaces no longer.
+
+    One writer at a time, as the day's schedule has.
+    """
+    seq = 1 + max((c.seq for c in read_commits(spark, table)), default=0)
+    row = spark.createDataFrame([(seq, day, gold_appended, quarantined, raw_state, replaces or [], run)], COMMIT_SCHEMA)
+    row.drop(RUN).coalesce(1).write.mode("overwrite").parquet(f"{commits_path(table)}/{RUN}={run}")
+
+
+def last_runs(commits: list[Row]) -> list[str]:
+    """Each day's last committed run."""
+    return list({c.as_of: c[RUN] for c in commits if c.as_of is not None}.values())
+
+
+def gold_runs(commits: list[Row]) -> list[str]:
+    """The runs whose gold rows count: committed, and not compacted into another."""
+    replaced = {r for c in commits for r in c.replaces or []}
+    return [c[RUN] for c in commits if c[RUN] not in replaced]
+
+
+# ---- writers -----------------------------------------------------------------------------
+
+
+def write_gold(rows: DataFrame, path: str, run: str) -> None:
+    """Append a run's gold rows, one folder per order_date, clustered by store and category.
 
     The rebalance hashes rows by order_date, so every date lands in one task (one
     file per date) and AQE splits only a hot date over several tasks. Coalescing is
@@ -61,59 +138,85 @@ def write_gold(rows: DataFrame, path: str) -> None:
     """
     with session_conf(rows.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         (
-            rows.select(*GOLD_SCHEMA.fieldNames())
+            rows.select(*GOLD_SCHEMA.fieldNames(), F.lit(run).alias(RUN))
             .hint("rebalance", "order_date")
             .sortWithinPartitions(*GOLD_CLUSTER)
             .write.mode("append")
-            .partitionBy("order_date")
+            .partitionBy("order_date", RUN)
             .parquet(path)
         )
 
 
-def write_quarantine(rows: DataFrame, path: str, day: dt.date) -> None:
-    """Replace the run day's quarantine partition, also by nothing (other days untouched).
+def day_folder(path: str, column: str, day: dt.date) -> str:
+    return f"{path}/{column}={day.isoformat()}"
 
-    The day's folder is overwritten itself: a dynamic overwrite replaces only folders it
-    has rows for, and would leave the last run's rejects if there are none now.
-    """
-    rows.drop(QUARANTINE_DATE).write.mode("overwrite").parquet(quarantine_folder(path, day))
+
+def write_quarantine(rows: DataFrame, path: str, day: dt.date, run: str) -> None:
+    """Write a run's quarantine of its day; once committed it takes the place of earlier runs' (also if empty)."""
+    rows.drop(QUARANTINE_DATE).write.mode("overwrite").parquet(f"{day_folder(path, QUARANTINE_DATE, day)}/{RUN}={run}")
+
+
+def write_check_log(rows: DataFrame, path: str, day: dt.date, run: str) -> None:
+    """Write a run's check-log rows: at most nine (eight checks + reconciliation), so one file."""
+    rows.drop("run_date").coalesce(1).write.mode("overwrite").parquet(f"{day_folder(path, 'run_date', day)}/{RUN}={run}")
 
 
-def quarantine_folder(path: str, day: dt.date) -> str:
-    """A run day's folder; there is one, empty or not, once the day has run."""
-    return f"{path}/{QUARANTINE_DATE}={day.isoformat()}"
+def drop_replaced(spark: SparkSession, path: str, column: str, day: dt.date, run: str) -> None:
+    """Remove what other runs left in a day's folder of the quarantine or the check log."""
+    fs, folder = hadoop_path(spark, day_folder(path, column, day))
+    for f in fs.listStatus(folder) if fs.exists(folder) else []:
+        if f.getPath().getName() != f"{RUN}={run}":
+            fs.delete(f.getPath(), True)
 
 
-def write_check_log(rows: DataFrame, path: str) -> None:
-    """Replace the run day's check-log rows (other days untouched).
+def compact_gold(spark: SparkSession, path: str) -> int:
+    """Rewrite the gold rows of all runs as one run; returns the number of runs that it replaces.
 
-    A run's log is at most nine rows (eight checks + reconciliation), so it is
-    written as one file.
+    A date that many runs wrote a file for ends in one sorted file (a hot date in a few). The
+    new files count from the one commit that also ends the old ones, so a reader sees all old
+    or all new; then the old ones go. It is run again if it breaks off.
     """
-    (
-        rows.coalesce(1)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .parquet(path)
-    )
+    runs = gold_runs(read_commits(spark, path))
+    gold = read_gold(spark, path)
+    if gold is not None and len(runs) > 1:
+        run = f"compact-{uuid.uuid4().hex[:12]}"
+        write_gold(gold, path, run)
+        commit_run(spark, path, run, None, 0, 0, replaces=runs)
+    drop_uncounted(spark, path)
+    return len(runs) if gold is not None and len(runs) > 1 else 0
+
+
+def drop_uncounted(spark: SparkSession, path: str) -> None:
+    """Remove gold files of runs that do not count: broken off, or compacted into another. No run may be under way."""
+    live = {f"{RUN}={r}" for r in gold_runs(read_commits(spark, path))}
+    fs, folders = hadoop_path(spark, f"{path}/order_date=*/{RUN}=*")
+    for f in fs.globStatus(folders) or []:
+        if f.getPath().getName() not in live:
+            fs.delete(f.getPath(), True)
+
+
+# ---- readers -----------------------------------------------------------------------------
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
+def _read(spark: SparkSession, path: str, schema: T.StructType, runs: list[str]) -> DataFrame | None:
+    """The rows of these runs; None if there are none or nothing was ever written."""
+    if not runs or not path_exists(spark, path):
+        return None
+    stored = T.StructType([*schema.fields, T.StructField(RUN, T.StringType(), True)])
+    return spark.read.schema(stored).parquet(path).where(F.col(RUN).isin(runs)).select(*schema.fieldNames())
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame | None:
-    """The gold table, or None before its first write."""
-    return _read(spark, path, GOLD_SCHEMA)
+    """The gold rows of committed runs, or None before the first."""
+    return _read(spark, path, GOLD_SCHEMA, gold_runs(read_commits(spark, path)))
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame | None:
-    return _read(spark, path, QUARANTINE_SCHEMA)
+    return _read(spark, path, QUARANTINE_SCHEMA, last_runs(read_commits(spark, path)))
 
 
 def read_check_log(spark: SparkSession, path: str) -> DataFrame | None:
-    return _read(spark, path, CHECK_LOG_SCHEMA)
+    return _read(spark, path, CHECK_LOG_SCHEMA, last_runs(read_commits(spark, path)))
 
 
 def or_empty(spark: SparkSession, df: DataFrame | None, schema: T.StructType) -> DataFrame:
@@ -126,7 +229,16 @@ __all__ = [
     "QUARANTINE_SCHEMA",
     "write_gold",
     "write_quarantine",
-    "quarantine_folder",
+    "RUN",
+    "commit_run",
+    "commits_path",
+    "compact_gold",
+    "drop_replaced",
+    "drop_uncounted",
+    "gold_runs",
+    "last_runs",
+    "new_run",
+    "read_commits",
     "write_check_log",
     "read_gold",
     "read_quarantine",

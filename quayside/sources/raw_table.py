@@ -10,11 +10,12 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators.checks import as_date_lit
+from quayside.plans.observed import observed_metrics
 from quayside.schema import LOAD_DATE, RAW_SCHEMA
 from quayside.session import path_exists, scratch_path
 from quayside.sources.fixture import fixture_raw_orders, with_load_date
@@ -35,7 +36,8 @@ def append_raw(rows: DataFrame, raw_path: str, batch_id: str | None = None) -> s
     A new batch id appends; a batch id written before is replaced (idempotent
     replay): all its partitions go, also those of load days that the batch no longer
     has. No shuffle: a batch covers one or two load days, so each task writes a
-    file per day it holds. An empty batch writes nothing.
+    file per day it holds. An empty batch writes nothing. Last, the batch's row count, taken
+    from the write, goes to the table of counts (``raw_counts``).
     """
     fs, old = None, []
     if batch_id is None:
@@ -43,8 +45,10 @@ def append_raw(rows: DataFrame, raw_path: str, batch_id: str | None = None) -> s
     else:
         fs, old = _batch_files(rows.sparkSession, raw_path, batch_id)
     out = with_load_date(rows.select(*RAW_SCHEMA.fieldNames())).withColumn(BATCH, F.lit(batch_id))
+    obs = Observation("raw-rows")
     (
-        out.write.mode("overwrite")
+        out.observe(obs, F.count(F.lit(1)).alias("n"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(LOAD_DATE, BATCH)
@@ -52,9 +56,21 @@ def append_raw(rows: DataFrame, raw_path: str, batch_id: str | None = None) -> s
     )
     for path in old:  # what the write did not replace; only now, as the rows may have been read from there
         fs.delete(path, False)
+    n = int(observed_metrics(obs).get("n", 0))
+    replace_batch(rows.sparkSession.createDataFrame([(n,)], "n_rows long").coalesce(1), counts_path(raw_path), batch_id)
     return batch_id
 
 
+def counts_path(raw_path: str) -> str:
+    return f"{raw_path.rstrip('/')}_counts"
+
+
+def raw_row_count(spark: SparkSession, raw_path: str) -> int:
+    """Rows of the raw table by the counts of its batches: no file of raw is opened or listed."""
+    counts = _read_or_empty(spark, counts_path(raw_path), T.StructType([T.StructField("n_rows", T.LongType(), True)]))
+    return int(counts.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).head()[0])
+
+
 def _batch_files(spark: SparkSession, raw_path: str, batch_id: str):
     """(file system, files) of a batch's partitions under any load day."""
     sc = spark.sparkContext
@@ -170,6 +186,7 @@ __all__ = [
     "LEDGER_SCHEMA",
     "RAW_TABLE_SCHEMA",
     "batch_folder",
+    "raw_row_count",
     "read_ledger",
     "read_rejects",
     "replace_batch",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import reports
 from quayside.plans.gold_run import run_gold, stage_to_storage
-from quayside.operators.route import gold_rows, skip_already_loaded
+from quayside.operators.route import gold_rows, quarantine_rows, skip_already_loaded
 from quayside.schema import RAW_SCHEMA
 from quayside.session import Lakehouse, hadoop_path, local_path, scratch_path
 from quayside.sinks.tables import read_check_log, read_gold, read_quarantine, write_gold
@@ -63,10 +63,11 @@ def test_check_log_values(spark):
 
 
 def test_crash_after_gold_write_then_rerun(spark):
-    # Simulate a run that appended gold and died before quarantine and log.
+    # Simulate a run that appended gold and died before quarantine, log and commit: nobody sees it.
     lake, raw = land(spark, day_rows())
     st = stage_to_storage(spark, raw, lake, DAY)
-    write_gold(skip_already_loaded(gold_rows(st, RUN_TS), read_gold(spark, lake.gold)), lake.gold)
+    write_gold(skip_already_loaded(gold_rows(st, RUN_TS), read_gold(spark, lake.gold)), lake.gold, "broken")
+    assert read_gold(spark, lake.gold) is None
     run_gold(spark, lake, DAY, RUN_TS)
     lake2, _ = land(spark, day_rows())
     run_gold(spark, lake2, DAY, RUN_TS)
@@ -238,3 +239,71 @@ def test_a_batch_id_used_again_replaces_other_load_days_and_may_be_empty(spark):
     assert sorted(r["_batch"] for r in read_raw(spark, lake.raw).collect()) == ["b1", "b2"]
     append_raw(spark.createDataFrame([], RAW_SCHEMA), lake.raw, "b1")
     assert [r["_batch"] for r in read_raw(spark, lake.raw).collect()] == ["b2"]
+
+
+def test_a_run_without_commit_is_never_seen(spark):
+    from quayside.sinks.tables import drop_uncounted, write_check_log, write_quarantine
+
+    lake, raw = land(spark, day_rows())
+    run_gold(spark, lake, DAY, RUN_TS)
+    before = snapshot(spark, lake)
+    st = stage_to_storage(spark, raw, lake, DAY)
+    day = dt.date.fromisoformat(DAY)
+    write_quarantine(quarantine_rows(st, RUN_TS, DAY).limit(1), lake.quarantine, day, "broken")
+    write_gold(gold_rows(st, RUN_TS), lake.gold, "broken")
+    write_check_log(read_check_log(spark, lake.check_log).limit(1), lake.check_log, day, "broken")
+    assert snapshot(spark, lake) == before
+    run_gold(spark, lake, DAY, "2024-03-11 09:00:00")
+    assert snapshot(spark, lake) == before
+    fs, folder = hadoop_path(spark, f"{lake.gold}/order_date=*/_run=broken")
+    assert len(fs.globStatus(folder)) > 0
+    drop_uncounted(spark, lake.gold)
+    assert len(fs.globStatus(folder)) == 0 and snapshot(spark, lake) == before
+
+
+def test_an_unchanged_day_reads_and_writes_no_gold(spark, monkeypatch):
+    from quayside.plans import gold_run
+
+    lake, _ = land(spark, day_rows())
+    run_gold(spark, lake, DAY, RUN_TS)
+    before = snapshot(spark, lake)
+    with monkeypatch.context() as m:
+        for name in ("read_gold", "write_gold", "read_raw"):
+            m.setattr(gold_run, name, None)  # not even called: the counts are kept beside the tables
+        assert run_gold(spark, lake, DAY, "2024-03-11 08:00:00").gold_appended == 0
+    assert snapshot(spark, lake) == before
+    append_raw(spark.createDataFrame([raw_row(order_id="new", row_hash="hn")], RAW_SCHEMA), lake.raw)
+    assert run_gold(spark, lake, DAY, "2024-03-11 09:00:00").gold_appended == 1
+
+
+def test_counts_kept_equal_counts_taken(spark):
+    lake, _ = land(spark, day_rows())
+    append_raw(spark.createDataFrame([raw_row(order_id="x", row_hash="hx", loaded_at=TS - dt.timedelta(days=1))], RAW_SCHEMA), lake.raw, "b")
+    append_raw(spark.createDataFrame([], RAW_SCHEMA), lake.raw, "b")  # the batch is replaced by nothing
+    logs = []
+    for recount in (False, True, False):
+        run_gold(spark, lake, DAY, RUN_TS, recount=recount)
+        logs.append(sorted(tuple(r) for r in read_check_log(spark, lake.check_log).collect()))
+    assert logs[0] == logs[1] == logs[2]
+
+
+def test_compaction_swaps_runs_and_keeps_rows(spark):
+    from quayside.sinks.tables import compact_gold
+
+    rows = day_rows() + [raw_row(order_id="p", loaded_at=TS - dt.timedelta(days=1), row_hash="hp")]
+    lake, _ = land(spark, rows)
+    run_gold(spark, lake, "2024-03-09", RUN_TS)
+    run_gold(spark, lake, DAY, RUN_TS)
+    before = snapshot(spark, lake)
+    old = read_gold(spark, lake.gold)
+    assert len(old.inputFiles()) > 1
+    assert compact_gold(spark, lake.gold) == 2 and compact_gold(spark, lake.gold) == 0
+    assert snapshot(spark, lake) == before
+    assert len(read_gold(spark, lake.gold).inputFiles()) == read_gold(spark, lake.gold).select("order_date").distinct().count()
+    # A day run again after a compaction finds its rows there; new ones join them.
+    append_raw(spark.createDataFrame([raw_row(order_id="new", row_hash="hn")], RAW_SCHEMA), lake.raw)
+    run_gold(spark, lake, DAY, RUN_TS)
+    assert read_gold(spark, lake.gold).count() == len(before[0]) + 1
+    log = read_check_log(spark, lake.check_log).where("check_name = 'gold_vs_raw_row_count_check'")
+    (rec,) = log.where(F.col("run_date") == F.lit(dt.date.fromisoformat(DAY))).collect()
+    assert rec["total_rows"] == read_raw(spark, lake.raw).count() and rec["failing_rows"] == 7 - 4
