@@ -120,6 +120,7 @@ def json_hash(cols) -> str:
 
 RAW_COLS = ", ".join(BUSINESS_COLUMNS) + ", _loaded_at, _source_file, _row_hash"
 
+# Fixed values of the fixture (FIXTURES.md): store names by supplier, shipping and payment methods.
 _STORES = ("Garden Grove Store", "garden grove store", "Pacific Coast", "Pacific Coast Store ", "Mountain View",
            "Prairie Home", "Lakeside Outlet", "LAKESIDE", "corner shop")
 _SHIP = ("Standard", "Express", "Overnight", "Ground")
@@ -532,6 +533,7 @@ FROM raw"""
         f"{with_(FIXTURE_BASE)} SELECT {', '.join(BUSINESS_COLUMNS)}, _row_hash, '2001-07-01' AS load_day "
         f"FROM raw WHERE _source_file = 'orders_2001-05-31.csv'"
     )
+    s["sql_by_reason"] = s["quarantine_by_reason"]
     s["quarantine_written"] = (
         f"SELECT {', '.join(BUSINESS_COLUMNS)}, _row_hash, _failure_reason FROM ({s['quarantine_orders']})"
     )

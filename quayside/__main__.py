@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("ingest", help="land every .csv under a folder in raw (one batch)")
     p.add_argument("--lake", required=True)
     p.add_argument("--landing", required=True)
-    p.add_argument("--loaded-at", default=None, help="load timestamp; default: each file's modification time")
+    p.add_argument("--loaded-at", default=None, help="load timestamp; default: now, or for a batch id landed before, its time")
     p.add_argument("--batch-id", default=None, help="re-use to replace an earlier batch")
     p.add_argument("--strict", action="store_true", help="fail on files with unknown columns")
 

@@ -16,7 +16,6 @@ from quayside.functions.text import ws_trim
 # Accepted text shapes.
 # --------------------------------------------------------------------------------------
 DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"  # %Y-%m-%d, 1- or 2-digit month and day
-DATE_PATTERN = "y-M-d"
 INTEGER_SHAPE = r"^[+-]?[0-9]+$"
 DECIMAL_SHAPE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 FLOAT_SPECIALS = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
@@ -31,7 +30,7 @@ def safe_date(c: Column | str) -> Column:
 
     Behind the shape guard, Spark's string-to-date cast reads exactly
     year-month-day (1- or 2-digit month and day) and returns NULL for impossible
-    dates; it is several times cheaper than a pattern-based parse (DATE_PATTERN).
+    dates; it is several times cheaper than a pattern-based parse.
     """
     t = ws_trim(_col(c))
     return F.when(t.rlike(DATE_SHAPE), t.try_cast("date"))

@@ -24,6 +24,7 @@ from quayside.operators.checks import DEDUPE_ORDER, add_casts, stage
 from quayside.operators.dedupe import mark_later_rows, with_row_ids
 from quayside.operators.route import gold_rows, quarantine_rows
 from quayside.plans.gold_run import run_gold
+from quayside.plans.views import register_views, report
 from quayside.schema import (
     BUSINESS_COLUMNS,
     CHECK_FLAGS,
@@ -259,6 +260,14 @@ def q_rerun_day(spark, sf_dir):
     return read_gold(spark, lake.gold).select(*GOLD_COLUMNS)
 
 
+def q_sql_by_reason(spark, sf_dir):
+    """Rejects per reason as Spark SQL over the registered views, grouped and ordered by ordinals."""
+    lake = _lake_on_fixture(spark, sf_dir)
+    run_gold(spark, lake, AS_OF, RUN_TS)
+    register_views(spark, lake)
+    return report(spark, "quarantine_by_reason")
+
+
 def _table_counts(spark, lake: Lakehouse, phase: str) -> DataFrame:
     """Rows of the three tables as a reader finds them."""
     frames = {"gold": read_gold, "quarantine": read_quarantine, "check_log": read_check_log}
@@ -552,6 +561,7 @@ QUERIES: dict[str, Query] = {
     "skip_already_loaded": q_skip_already_loaded,
     "late_file_rerun": q_late_file_rerun,
     "rerun_day": q_rerun_day,
+    "sql_by_reason": q_sql_by_reason,
     "run_marker": q_run_marker,
     "compact_gold": q_compact_gold,
     "raw_profile": q_raw_profile,
