@@ -7,8 +7,10 @@
    day that are in gold keep their place: a file landed since then cannot put a second row of
    their order id into gold.
 2. Quarantine: the day's rejected rows, in place of those of the day's last run.
-3. Gold: append valid rows whose row hash is not in gold yet. If the day ran before over
-   the very files that raw has now, all its rows are there: gold is neither read nor written.
+3. Gold: append valid rows whose row hash is not in gold yet. Membership summaries tell which
+   rows may be there (``sinks.members``); only the gold folders of those rows' dates are listed
+   and read. If the day ran before over the very files that raw has now, all its rows are
+   there: gold is neither read nor written.
 4. Check log: the run day's rows (one aggregate over the staged copy, and the counts that
    gold's commits and raw's batches keep; ``recount`` counts both tables anew).
 5. Commit: one record, which makes the rows of 2-4 count (see ``sinks.tables``). A run that
@@ -30,14 +32,17 @@ from pyspark.sql import functions as F
 from quayside.operators.checklog import check_log
 from quayside.operators.checks import DEDUPE_ORDER, stage
 from quayside.operators.dedupe import ROW_ID_COLUMNS
-from quayside.operators.route import gold_rows, quarantine_rows, skip_already_loaded, ts_lit
+from quayside.operators.route import candidate_dates, gold_rows, quarantine_rows, skip_already_loaded, ts_lit
 from quayside.plans.metrics import write_metrics
 from quayside.plans.observed import observed_metrics
 from quayside.schema import GOLD_SCHEMA, QUARANTINE_DATE
 from quayside.session import Lakehouse, drop_folder
+from quayside.sinks.members import possible, read_gold_dates, read_members, write_members
 from quayside.sinks.tables import (
+    RUN,
     commit_run,
     drop_replaced,
+    gold_runs,
     new_run,
     or_empty,
     read_commits,
@@ -109,6 +114,39 @@ def stage_to_storage(
     return spark.read.option("basePath", path).parquet(path)
 
 
+def gold_day(spark: SparkSession, lake: Lakehouse, before: list, runs: list[str]) -> DataFrame | None:
+    """Gold that can hold rows of a day's earlier runs: the dates in their summaries, or all of it
+    if one of these runs was compacted into another or has no summary."""
+    mine = [c[RUN] for c in before]
+    members = read_members(spark, lake.gold, mine) if set(mine) <= set(runs) else None
+    if members is None:
+        return read_gold(spark, lake.gold)
+    dates = sorted(r[0] for r in members.select("order_date").distinct().collect())
+    return read_gold_dates(spark, lake.gold, dates, mine)
+
+
+def new_in_gold(
+    spark: SparkSession, candidates: DataFrame, lake: Lakehouse, runs: list[str], dates: list[dt.date], path: str
+) -> DataFrame:
+    """The candidates that are not in gold yet, told by the runs' summaries and then, where a row may be there, by gold.
+
+    The possible hits are written to ``path`` once: their dates (bounded by the calendar) pick the
+    gold folders, and only gold rows among them go into the exact join.
+    """
+    if not runs or not dates:
+        return candidates
+    members = read_members(spark, lake.gold, runs)
+    if members is None:
+        return skip_already_loaded(candidates, read_gold(spark, lake.gold), dates)
+    possible(candidates, members, dates).write.parquet(path)
+    hits = spark.read.parquet(path)
+    gold = read_gold_dates(spark, lake.gold, candidate_dates(hits), runs)
+    if gold is None:
+        return candidates
+    known = gold.select("order_date", "_row_hash").join(hits, ["order_date", "_row_hash"], "left_semi")
+    return candidates.join(known, ["order_date", "_row_hash"], "left_anti")
+
+
 def run_gold(
     spark: SparkSession,
     lake: Lakehouse,
@@ -126,10 +164,12 @@ def run_gold(
     before = [c for c in commits if c.as_of == day]
     # The same files as when the day first ran: its numbering needs no gold, and gold has its rows.
     unchanged = bool(before) and all(c.raw_state == state for c in before)
-    gold = None if unchanged else read_gold(spark, lake.gold)
-    kept = chosen_before(gold, day) if before and gold is not None else None
+    runs = gold_runs(commits)
+    gold = gold_day(spark, lake, before, runs) if before and not unchanged else None
+    kept = chosen_before(gold, day) if gold is not None else None
 
     run = new_run(day)
+    hits_path = f"{lake.staging}/possible_hits/{run}"
     gold_obs, quarantine_obs, staged_obs = Observation("gold"), Observation("quarantine"), Observation("staged")
     try:
         # Only the run day's raw folder is listed for staging.
@@ -141,9 +181,14 @@ def run_gold(
         appended = 0
         if not unchanged:
             dates = sorted(observed_metrics(staged_obs).get("dates") or [])
-            new_gold = skip_already_loaded(gold_rows(st, run_ts), gold, dates)
+            valid = gold_rows(st, run_ts)
+            new_gold = new_in_gold(spark, valid, lake, runs, dates, hits_path)
             write_gold(new_gold.observe(gold_obs, F.count(F.lit(1)).alias("n")), lake.gold, run)
             appended = _observed(gold_obs)
+            # Of all valid rows: those that are in gold by another run are members by right.
+            write_members(valid, lake.gold, run)
+        else:
+            write_members(gold_rows(st, run_ts).limit(0), lake.gold, run)
 
         if recount:
             mine = spark.range(appended).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in GOLD_SCHEMA.fields])
@@ -155,6 +200,7 @@ def run_gold(
         write_check_log(log, lake.check_log, day, run)
     finally:
         drop_folder(spark, staging_folder(lake, day, run))
+        drop_folder(spark, hits_path)
 
     result = GoldRunResult(
         as_of=day, staged_rows=_observed(staged_obs), gold_appended=appended, quarantined=_observed(quarantine_obs)
@@ -167,4 +213,4 @@ def run_gold(
     return result
 
 
-__all__ = ["GoldRunResult", "chosen_before", "raw_state", "stage_to_storage", "run_gold"]
+__all__ = ["GoldRunResult", "chosen_before", "gold_day", "new_in_gold", "raw_state", "stage_to_storage", "run_gold"]

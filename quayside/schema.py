@@ -133,6 +133,9 @@ QUARANTINE_COLUMNS: tuple[str, ...] = BUSINESS_COLUMNS + (
 )
 QUARANTINE_DATE = "_quarantine_date"
 
+#: Partition column that tells a run's files.
+RUN = "_run"
+
 CHECK_LOG_SCHEMA = T.StructType(
     [
         T.StructField("run_date", T.DateType(), True),

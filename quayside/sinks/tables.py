@@ -30,8 +30,10 @@ from quayside.schema import (
     GOLD_SCHEMA,
     QUARANTINE_COLUMNS,
     QUARANTINE_DATE,
+    RUN,
 )
 from quayside.session import hadoop_path, path_exists
+from quayside.sinks.members import drop_members, write_members
 
 GOLD_CLUSTER = ("order_date", "store_name", "category")
 
@@ -60,8 +62,6 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
                 spark.conf.set(k, v)
 
 
-RUN = "_run"
-
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("seq", T.LongType(), True),
@@ -181,18 +181,20 @@ def compact_gold(spark: SparkSession, path: str) -> int:
     if gold is not None and len(runs) > 1:
         run = f"compact-{uuid.uuid4().hex[:12]}"
         write_gold(gold, path, run)
+        write_members(gold, path, run)
         commit_run(spark, path, run, None, 0, 0, replaces=runs)
     drop_uncounted(spark, path)
     return len(runs) if gold is not None and len(runs) > 1 else 0
 
 
 def drop_uncounted(spark: SparkSession, path: str) -> None:
-    """Remove gold files of runs that do not count: broken off, or compacted into another. No run may be under way."""
+    """Remove gold files and summaries of runs that do not count: broken off, or compacted into another. No run may be under way."""
     live = {f"{RUN}={r}" for r in gold_runs(read_commits(spark, path))}
     fs, folders = hadoop_path(spark, f"{path}/order_date=*/{RUN}=*")
     for f in fs.globStatus(folders) or []:
         if f.getPath().getName() not in live:
             fs.delete(f.getPath(), True)
+    drop_members(spark, path, {name.removeprefix(f"{RUN}=") for name in live})
 
 
 # ---- readers -----------------------------------------------------------------------------
