@@ -1,22 +1,27 @@
 """Token-id files compressed by Re-Pair grammars, with random-access decoding.
 
 Documents are ranged and sorted by id; each partition writes shards of at most
-``SHARD_TOKENS`` ids (a longer document has a shard of its own), each with its own grammar: the most frequent adjacent id
-pairs are replaced by nonterminals, again and again, until no pair is frequent enough or
-``ROUNDS`` rounds are done. A round counts pairs by hash, takes a table slot's last pair
-as its own (others there wait for another round), and replaces wherever a pair is more
-frequent than the pairs that overlap it. No pair crosses a document's end.
+``SHARD_TOKENS`` ids (a longer document has a shard of its own), each with its own grammar:
+the most frequent adjacent id pairs are replaced by nonterminals, again and again, until no
+pair has ``MIN_COUNT`` uses left. A round counts all pairs exactly and replaces a pair wherever
+it ranks above the pairs that overlap it: by uses, then by a hash of the pair, so that the equally
+frequent pairs of a repeated passage shrink together; of a pair that overlaps itself ("aaaa"),
+every second use counts, from the left of its run. The first pair in rank is replaced wherever it
+is used, others if they have ``MIN_USES`` uses of their own in the round (fewer would not
+pay for the rule). No pair crosses a document's end.
 
 A shard (one Parquet row, column ``payload``) is
 
-    b"RPID", u32 version, documents, rules, symbols, first nonterminal; u64 tokens
+    b"RPID", u32 version, documents, rules, symbols, first nonterminal, bytes a symbol; u64 tokens
     i64 document ids, u8 id is present; u32 symbols and u32 tokens before each document, and the total
-    u32 left, u32 right, u32 expansion length of each rule
-    3 bytes a symbol, little-endian;  u32 crc32 of all that
+    u32 crc32 of each document's symbols; u32 left, u32 right, u32 expansion length of each rule
+    3 bytes a symbol (4 where ids or rules need them), little-endian
+    u32 crc32 of all that but the symbols
 
-so that one document, or a range of its ids, is decoded from its own symbols alone:
-the expansion lengths tell which symbols to expand. A nonterminal is its rule's number
-plus the first nonterminal.
+so that one document, or a range of its ids, is decoded from its own symbols alone: the
+expansion lengths tell which symbols and which rules below them hold the range, and only
+these are expanded; only its own symbols are checked. A nonterminal is its rule's number plus the first
+nonterminal. Ids and nonterminals stay below 2^32; a shard beyond is a ValueError.
 
 Defined results: a null or empty text is stored as the end id alone; null ids come first
 and equal ids follow each other by text, like any other row; an empty table gives no
@@ -36,100 +41,123 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.spans import gather, slices
+from quayside.llm.spans import slices
 from quayside.llm.word_ids import word_ids
 from quayside.session import ship_package
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
-ROUNDS = 5
 MIN_COUNT = 48
-SLOT_BITS = 18
-_HEAD = struct.Struct("<4sIIIIIQ")
+MIN_USES = 8
+SLOT_BITS = 20
+PARTITION_BYTES = 32 << 20
+_HEAD = struct.Struct("<4sIIIIIIQ")
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 SHARD_SCHEMA = "part int, shard int, tokens_before long, n_docs long, n_tokens long, payload binary"
 
 
-def re_pair(ids: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = ROUNDS, min_count: int = MIN_COUNT):
+def _mixed(key: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of pairs."""
+    x = (key ^ key >> np.uint64(29)) * _MIX
+    return (x ^ x >> np.uint64(32)) * _MIX
+
+
+def _every_second(at: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Of uses that overlap one of the same pair, the first, third, ... of each run; all others."""
+    begins = np.ones(len(at), bool)
+    begins[1:] = (np.diff(at) != 1) | (key[1:] != key[:-1])
+    first = np.flatnonzero(begins)
+    place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    return place % 2 == 0
+
+
+def frequent_pairs(s: np.ndarray, last: np.ndarray, min_count: int):
+    """(places, number of the pair at each, its uses, pairs): the uses of pairs with min_count uses at least.
+
+    Counts by hash slot leave out most rare pairs first; the rest are counted exactly.
+    """
+    key = s[:-1] << np.uint64(32) | s[1:]
+    slot = (_mixed(key) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    inside = ~last[:-1]
+    count = np.bincount(slot[inside], minlength=1 << SLOT_BITS)
+    at = np.flatnonzero(inside & (count[slot] >= min_count))
+    at = at[_every_second(at, key[at])]
+    pairs, number, uses = np.unique(key[at], return_inverse=True, return_counts=True)
+    frequent = uses[number] >= min_count
+    return at[frequent], number[frequent], uses, pairs
+
+
+def re_pair(ids: np.ndarray, last: np.ndarray, first_rule: int, min_count: int = MIN_COUNT):
     """(symbols, last-of-document flags, left, right): the ids with frequent pairs replaced."""
-    s, left, right = ids.astype(np.int64), [], []
+    s, last, left, right = ids.astype(np.uint64), last.copy(), [], []
     n_rules = 0
-    for _ in range(rounds):
-        if len(s) < 2:
-            break
-        key = s[:-1] << 24 | s[1:]
-        slot = (key * np.int64(-7046029254386353131) >> np.int64(64 - SLOT_BITS)) & ((1 << SLOT_BITS) - 1)
-        slot[last[:-1]] = 0
-        count = np.bincount(slot, minlength=1 << SLOT_BITS)
-        count[0] = 0
-        at = np.flatnonzero(count[slot] >= min_count)
-        if not len(at):
-            break
-        slot, key = slot[at], key[at]
-        owner = np.zeros(1 << SLOT_BITS, np.int64)
-        owner[slot] = key
-        own = owner[slot] == key
-        at, slot, key = at[own], slot[own], key[own]
-        count = np.bincount(slot, minlength=1 << SLOT_BITS)
-        frequent = count[slot] >= min_count
-        at, slot, key = at[frequent], slot[frequent], key[frequent]
+    while len(s) > 1:
+        at, number, uses, pairs = frequent_pairs(s, last, min_count)
         if not len(at):
             break
-        c = count[slot]
-        beside = np.diff(at) == 1  # overlaps the next one
+        order = np.lexsort((_mixed(pairs), uses))
+        rank = np.empty(len(pairs), np.int64)
+        rank[order] = np.arange(len(pairs))
+        r, beside = rank[number], np.diff(at) == 1  # beside: overlaps the next use
         wins = np.ones(len(at), bool)
-        wins[1:] &= ~beside | (c[1:] > c[:-1])
-        wins[:-1] &= ~beside | (c[:-1] >= c[1:])
-        at, slot, key = at[wins], slot[wins], key[wins]
-        used, number = np.unique(slot, return_inverse=True)
-        if first_rule + n_rules + len(used) >= 1 << 24:
-            break
-        pairs = owner[used]
-        left.append(pairs >> 24)
-        right.append(pairs & 0xFFFFFF)
-        s[at] = first_rule + n_rules + number
+        wins[1:] &= ~beside | (r[1:] > r[:-1])
+        wins[:-1] &= ~beside | (r[:-1] > r[1:])
+        own = np.bincount(number[wins], minlength=len(pairs))
+        wins &= (own[number] >= min(MIN_USES, min_count)) | (r == r.max())
+        at, number = at[wins], number[wins]
+        used, number = np.unique(number, return_inverse=True)
+        left.append(pairs[used] >> np.uint64(32))
+        right.append(pairs[used] & np.uint64(0xFFFFFFFF))
+        s[at] = (first_rule + n_rules + number).astype(np.uint64)
         last[at] = last[at + 1]
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
         s, last = s[keep], last[keep]
         n_rules += len(used)
-    none = np.zeros(0, np.int64)
-    return s, last, np.concatenate(left or [none]), np.concatenate(right or [none])
+    none = np.zeros(0, np.uint64)
+    parts = (np.concatenate(x or [none]).astype(np.int64) for x in (left, right))
+    return s.astype(np.int64), last, *parts
 
 
 def expansion_lengths(left: np.ndarray, right: np.ndarray, first_rule: int) -> np.ndarray:
     """Ids that each rule stands for. A rule's parts come before it."""
-    lens = np.ones(first_rule + len(left), np.int64)
+    lens = np.ones(1 + len(left), np.int64)  # lens[0]: an id
+    a, b = (np.maximum(x - first_rule + 1, 0) for x in (left, right))
     done = 0
     while done < len(left):  # as far as parts are known: one pass a round of replacement
-        ready = np.maximum(left[done:], right[done:]) >= first_rule + done
+        ready = np.maximum(a[done:], b[done:]) > done
         upto = done + (int(np.argmax(ready)) if ready.any() else len(ready))
-        lens[first_rule + done : first_rule + upto] = lens[left[done:upto]] + lens[right[done:upto]]
+        lens[1 + done : 1 + upto] = lens[a[done:upto]] + lens[b[done:upto]]
         done = upto
-    return lens
+    return lens[1:]
 
 
-def pack_shard(doc_ids: list, tokens: np.ndarray, ids: np.ndarray, rounds: int = ROUNDS) -> bytes:
+def pack_shard(doc_ids: list, tokens: np.ndarray, ids: np.ndarray, min_count: int = MIN_COUNT) -> bytes:
     """The bytes of a shard: documents with so many ids each."""
     first_rule = int(ids.max()) + 1
     last = np.zeros(len(ids), bool)
     last[np.cumsum(tokens) - 1] = True
-    symbols, last, left, right = re_pair(ids, last, first_rule, rounds)
-    symbol_ends = np.append(0, np.flatnonzero(last) + 1).astype("<u4")
-    body = b"".join(
+    symbols, last, left, right = re_pair(ids, last, first_rule, min_count)
+    if max(first_rule + len(left), len(ids)) > 0xFFFFFFFF:
+        raise ValueError("a shard's ids, rules or length do not fit 32 bits")
+    width = 3 if first_rule + len(left) <= 1 << 24 else 4
+    ends = np.append(0, np.flatnonzero(last) + 1)
+    data = np.ascontiguousarray(symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]).tobytes()
+    checks = [zlib.crc32(memoryview(data)[width * a : width * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    head = _HEAD.pack(b"RPID", 2, len(doc_ids), len(left), len(symbols), first_rule, width, len(ids)) + b"".join(
         x.tobytes()
         for x in (
             np.array([0 if d is None else d for d in doc_ids], "<i8"),
             np.array([d is not None for d in doc_ids], np.uint8),
-            symbol_ends,
+            ends.astype("<u4"),
             np.append(0, np.cumsum(tokens)).astype("<u4"),
+            np.array(checks, "<u4"),
             left.astype("<u4"),
             right.astype("<u4"),
-            expansion_lengths(left, right, first_rule)[first_rule:].astype("<u4"),
-            np.ascontiguousarray(symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]),
+            expansion_lengths(left, right, first_rule).astype("<u4"),
         )
     )
-    whole = _HEAD.pack(b"RPID", 1, len(doc_ids), len(left), len(symbols), first_rule, len(ids)) + body
-    return whole + struct.pack("<I", zlib.crc32(whole))
+    return head + data + struct.pack("<I", zlib.crc32(head))
 
 
 @dataclass
@@ -143,14 +171,15 @@ class Shard:
     right: np.ndarray
     lens: np.ndarray
     first_rule: int
-    symbols: np.ndarray
+    checks: np.ndarray
+    data: memoryview
+    width: int
+    expanded: int = 0  # rules expanded so far
 
     @classmethod
     def read(cls, payload: bytes) -> "Shard":
-        if zlib.crc32(payload[:-4]) != struct.unpack("<I", payload[-4:])[0]:
-            raise ValueError("a shard's checksum is wrong")
-        magic, version, docs, rules, n, first_rule, _ = _HEAD.unpack_from(payload)
-        if magic != b"RPID" or version != 1:
+        magic, version, docs, rules, n, first_rule, width, _ = _HEAD.unpack_from(payload)
+        if magic != b"RPID" or version != 2:
             raise ValueError("not a shard of token ids")
         at = _HEAD.size
 
@@ -162,43 +191,66 @@ class Shard:
 
         ids, present = take("<i8", docs), take("u1", docs)
         symbol_at, token_at = take("<u4", docs + 1).astype(np.int64), take("<u4", docs + 1).astype(np.int64)
+        checks = take("<u4", docs)
         left, right, lens = (take("<u4", rules).astype(np.int64) for _ in range(3))
-        wide = np.zeros((n, 4), np.uint8)
-        wide[:, :3] = take("u1", 3 * n).reshape(n, 3)
+        view = memoryview(payload)
+        if zlib.crc32(view[:at]) != struct.unpack("<I", payload[-4:])[0] or len(payload) != at + width * n + 4:
+            raise ValueError("a shard's checksum is wrong")
         doc_ids = [int(d) if p else None for d, p in zip(ids, present)]
-        return cls(doc_ids, symbol_at, token_at, left, right, lens, first_rule, wide.view("<u4").ravel().astype(np.int64))
-
-    def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Ids of these symbols: all expansions, found once, then one gather."""
-        if not hasattr(self, "flat"):
-            f, rules = self.first_rule, len(self.left)
-            starts, lens = np.arange(f + rules), np.append(np.ones(f, np.int64), self.lens)
-            flat, done = np.arange(f), 0
-            while done < rules:
-                ready = np.maximum(self.left[done:], self.right[done:]) >= f + done
-                upto = done + (int(np.argmax(ready)) if ready.any() else len(ready))
-                parts = np.stack([self.left[done:upto], self.right[done:upto]], 1).ravel()
-                starts[f + done : f + upto] = len(flat) + np.cumsum(lens[f + done : f + upto]) - lens[f + done : f + upto]
-                flat = np.concatenate([flat, gather(flat, starts[parts], lens[parts])])
-                done = upto
-            self.flat, self.flat_at, self.flat_lens = flat, starts, lens
-        return gather(self.flat, self.flat_at[symbols], self.flat_lens[symbols])
+        return cls(doc_ids, symbol_at, token_at, left, right, lens, first_rule, checks, view[at : at + width * n], width)
+
+    def doc_symbols(self, k: int, upto: int | None = None) -> np.ndarray:
+        """Symbols of document k, or of documents k to ``upto`` - 1, after their checksums."""
+        upto = k + 1 if upto is None else upto
+        for d in range(k, upto):
+            if zlib.crc32(self.data[self.width * self.symbol_at[d] : self.width * self.symbol_at[d + 1]]) != self.checks[d]:
+                raise ValueError("a document's checksum is wrong")
+        n = int(self.symbol_at[upto] - self.symbol_at[k])
+        wide = np.zeros((n, 4), np.uint8)
+        own = np.frombuffer(self.data, np.uint8, self.width * n, self.width * int(self.symbol_at[k]))
+        wide[:, : self.width] = own.reshape(n, self.width)
+        return wide.view("<u4").ravel().astype(np.int64)
+
+    @property
+    def symbols(self) -> np.ndarray:
+        return self.doc_symbols(0, len(self.doc_ids))
+
+    def _lengths(self, symbols: np.ndarray) -> np.ndarray:
+        out = np.ones(len(symbols), np.int64)
+        rules = symbols >= self.first_rule
+        out[rules] = self.lens[symbols[rules] - self.first_rule]
+        return out
+
+    def _expand(self, symbols: np.ndarray, start: int, stop: int) -> np.ndarray:
+        """Ids start to stop - 1 of these symbols. Each pass expands the nonterminals that hold some of them by one rule."""
+        while True:
+            ends = np.cumsum(self._lengths(symbols))
+            a, b = int(np.searchsorted(ends, start, side="right")), int(np.searchsorted(ends, stop, side="left"))
+            before = int(ends[a - 1]) if a else 0
+            symbols, start, stop = symbols[a : b + 1], start - before, stop - before
+            rules = symbols >= self.first_rule
+            n = int(rules.sum())
+            if not n:
+                return symbols[start:stop]
+            self.expanded += n
+            at = np.arange(len(symbols)) + np.cumsum(rules) - rules
+            out = np.empty(len(symbols) + n, np.int64)
+            out[at] = symbols
+            out[at[rules]] = self.left[symbols[rules] - self.first_rule]
+            out[at[rules] + 1] = self.right[symbols[rules] - self.first_rule]
+            symbols = out
 
     def ids(self) -> np.ndarray:
         """All ids of the shard."""
-        return self._expand(self.symbols).astype("<u4")
+        return self._expand(self.symbols, 0, int(self.token_at[-1])).astype("<u4")
 
     def document(self, k: int, start: int = 0, length: int | None = None) -> np.ndarray:
-        """Ids start to start + length of document k, from the symbols that hold them."""
-        symbols = self.symbols[self.symbol_at[k] : self.symbol_at[k + 1]]
-        lens = np.append(1, self.lens)[np.maximum(symbols - self.first_rule + 1, 0)]
-        ends = np.cumsum(lens)
-        stop = int(ends[-1]) if length is None else min(int(ends[-1]), start + length)
+        """Ids start to start + length of document k, from its symbols and the rules that hold them."""
+        tokens = int(self.token_at[k + 1] - self.token_at[k])
+        stop = tokens if length is None else min(tokens, start + length)
         if start >= stop:
             return np.zeros(0, "<u4")
-        a, b = int(np.searchsorted(ends, start, side="right")), int(np.searchsorted(ends, stop, side="left"))
-        skipped = int(ends[a] - lens[a])
-        return self._expand(symbols[a : b + 1])[start - skipped : stop - skipped].astype("<u4")
+        return self._expand(self.doc_symbols(k), start, stop).astype("<u4")
 
 
 def write_ids(
@@ -210,10 +262,15 @@ def write_ids(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> None:
-    """Encode whole texts and write their ids as shards, in ascending id order."""
+    """Encode whole texts and write their ids as shards, in ascending id order.
+
+    The number of range partitions grows with the bytes of text. Rows of one id (null ids, too)
+    are split by how their texts begin.
+    """
     spark = docs.sparkSession
     ship_package(spark)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), size // PARTITION_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = word_ids(tokenizer_file), TaskContext.get().partitionId()
@@ -250,7 +307,7 @@ def write_ids(
 
     ordered = (
         docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-        .repartitionByRange(parts, "doc_id")
+        .repartitionByRange(parts, F.col("doc_id"), F.substring("text", 1, 32))
         .sortWithinPartitions("doc_id", "text")
     )
     ordered.mapInArrow(run, SHARD_SCHEMA).write.option("compression", "zstd").parquet(path)
@@ -260,7 +317,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """One row per document from the shards: doc_id, start (ids of all documents before it),
     n_tokens and ids (binary: little-endian unsigned 32-bit).
 
-    Only the totals of the range partitions (spark.sql.shuffle.partitions of the writer)
+    Only the totals of the range partitions (one for 32 MB of text, or the shuffle partitions)
     pass the driver, to be summed in order.
     """
     ship_package(spark)
