@@ -49,7 +49,7 @@ END_ID = 2
 SHARD_TOKENS = 1 << 20
 MIN_COUNT = 48
 MIN_USES = 8
-SLOT_BITS = 20
+SLOT_BITS = 18
 PARTITION_BYTES = 32 << 20
 _HEAD = struct.Struct("<4sIIIIIIQ")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -71,33 +71,52 @@ def _every_second(at: np.ndarray, key: np.ndarray) -> np.ndarray:
     return place % 2 == 0
 
 
-def frequent_pairs(s: np.ndarray, last: np.ndarray, min_count: int):
-    """(places, number of the pair at each, its uses, pairs): the uses of pairs with min_count uses at least.
+def number_pairs(key: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each key, distinct keys). A slot's last key is told by its slot; others are sorted."""
+    owner = np.zeros(1 << SLOT_BITS, np.uint64)
+    owner[slot] = key
+    own = owner[slot] == key
+    used = np.zeros(1 << SLOT_BITS, bool)
+    used[slot] = True
+    place = np.cumsum(used) - 1
+    rest, other = np.unique(key[~own], return_inverse=True)
+    number = place[slot]
+    number[~own] = int(used.sum()) + other
+    return number, np.concatenate([owner[used], rest])
+
+
+def frequent_pairs(s: np.ndarray, asked: np.ndarray, min_count: int):
+    """(places, number of the pair at each, uses of each pair, pairs, places to ask again): the uses of
+    pairs with min_count uses at least, among the pairs that begin at the places asked.
 
     Counts by hash slot leave out most rare pairs first; the rest are counted exactly.
     """
-    key = s[:-1] << np.uint64(32) | s[1:]
-    slot = (_mixed(key) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    inside = ~last[:-1]
-    count = np.bincount(slot[inside], minlength=1 << SLOT_BITS)
-    at = np.flatnonzero(inside & (count[slot] >= min_count))
-    at = at[_every_second(at, key[at])]
-    pairs, number, uses = np.unique(key[at], return_inverse=True, return_counts=True)
+    key = s[asked] << np.uint64(32) | s[asked + 1]
+    slot = (key * _MIX >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    some = np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= min_count
+    again, key, slot = asked[some], key[some], slot[some]
+    counted = _every_second(again, key)
+    at = again[counted]
+    number, pairs = number_pairs(key[counted], slot[counted])
+    uses = np.bincount(number, minlength=len(pairs))
     frequent = uses[number] >= min_count
-    return at[frequent], number[frequent], uses, pairs
+    return at[frequent], number[frequent], uses, pairs, again
 
 
 def re_pair(ids: np.ndarray, last: np.ndarray, first_rule: int, min_count: int = MIN_COUNT):
-    """(symbols, last-of-document flags, left, right): the ids with frequent pairs replaced."""
+    """(symbols, last-of-document flags, left, right): the ids with frequent pairs replaced.
+
+    After the first round only places whose pair was frequent, or that touch a new nonterminal, are
+    asked: no other pair gains uses.
+    """
     s, last, left, right = ids.astype(np.uint64), last.copy(), [], []
-    n_rules = 0
-    while len(s) > 1:
-        at, number, uses, pairs = frequent_pairs(s, last, min_count)
+    n_rules, asked = 0, np.flatnonzero(~last)
+    while len(asked):
+        at, number, uses, pairs, again = frequent_pairs(s, asked, min_count)
         if not len(at):
             break
-        order = np.lexsort((_mixed(pairs), uses))
         rank = np.empty(len(pairs), np.int64)
-        rank[order] = np.arange(len(pairs))
+        rank[np.lexsort((_mixed(pairs), uses))] = np.arange(len(pairs))
         r, beside = rank[number], np.diff(at) == 1  # beside: overlaps the next use
         wins = np.ones(len(at), bool)
         wins[1:] &= ~beside | (r[1:] > r[:-1])
@@ -105,15 +124,20 @@ def re_pair(ids: np.ndarray, last: np.ndarray, first_rule: int, min_count: int =
         own = np.bincount(number[wins], minlength=len(pairs))
         wins &= (own[number] >= min(MIN_USES, min_count)) | (r == r.max())
         at, number = at[wins], number[wins]
-        used, number = np.unique(number, return_inverse=True)
-        left.append(pairs[used] >> np.uint64(32))
-        right.append(pairs[used] & np.uint64(0xFFFFFFFF))
-        s[at] = (first_rule + n_rules + number).astype(np.uint64)
+        named = np.zeros(len(pairs), bool)
+        named[number] = True
+        left.append(pairs[named] >> np.uint64(32))
+        right.append(pairs[named] & np.uint64(0xFFFFFFFF))
+        s[at] = (first_rule + n_rules + np.cumsum(named) - 1)[number].astype(np.uint64)
         last[at] = last[at + 1]
+        ask = np.zeros(len(s), bool)
+        ask[again] = ask[at] = True
+        ask[np.maximum(at, 1) - 1] = True
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
-        s, last = s[keep], last[keep]
-        n_rules += len(used)
+        s, last, ask = s[keep], last[keep], ask[keep]
+        asked = np.flatnonzero(ask & ~last)
+        n_rules += int(named.sum())
     none = np.zeros(0, np.uint64)
     parts = (np.concatenate(x or [none]).astype(np.int64) for x in (left, right))
     return s.astype(np.int64), last, *parts
@@ -169,7 +193,7 @@ class Shard:
     token_at: np.ndarray
     left: np.ndarray
     right: np.ndarray
-    lens: np.ndarray
+    all_lens: np.ndarray  # of an id, then of each rule
     first_rule: int
     checks: np.ndarray
     data: memoryview
@@ -197,7 +221,7 @@ class Shard:
         if zlib.crc32(view[:at]) != struct.unpack("<I", payload[-4:])[0] or len(payload) != at + width * n + 4:
             raise ValueError("a shard's checksum is wrong")
         doc_ids = [int(d) if p else None for d, p in zip(ids, present)]
-        return cls(doc_ids, symbol_at, token_at, left, right, lens, first_rule, checks, view[at : at + width * n], width)
+        return cls(doc_ids, symbol_at, token_at, left, right, np.append(1, lens), first_rule, checks, view[at : at + width * n], width)
 
     def doc_symbols(self, k: int, upto: int | None = None) -> np.ndarray:
         """Symbols of document k, or of documents k to ``upto`` - 1, after their checksums."""
@@ -216,33 +240,32 @@ class Shard:
         return self.doc_symbols(0, len(self.doc_ids))
 
     def _lengths(self, symbols: np.ndarray) -> np.ndarray:
-        out = np.ones(len(symbols), np.int64)
-        rules = symbols >= self.first_rule
-        out[rules] = self.lens[symbols[rules] - self.first_rule]
-        return out
+        return self.all_lens[np.maximum(symbols - (self.first_rule - 1), 0)]
 
     def _expand(self, symbols: np.ndarray, start: int, stop: int) -> np.ndarray:
-        """Ids start to stop - 1 of these symbols. Each pass expands the nonterminals that hold some of them by one rule."""
-        while True:
-            ends = np.cumsum(self._lengths(symbols))
-            a, b = int(np.searchsorted(ends, start, side="right")), int(np.searchsorted(ends, stop, side="left"))
-            before = int(ends[a - 1]) if a else 0
-            symbols, start, stop = symbols[a : b + 1], start - before, stop - before
+        """Ids start to stop - 1 of these symbols. A pass writes the ids among the symbols to their
+        places and goes on with the two parts of each nonterminal that holds some of the range."""
+        n = stop - start
+        out = np.empty(n, "<u4")
+        lens = self._lengths(symbols)
+        at = np.cumsum(lens) - lens - start
+        while len(symbols):
+            inside = (at + lens > 0) & (at < n)
+            if not inside.all():
+                symbols, at = symbols[inside], at[inside]
             rules = symbols >= self.first_rule
-            n = int(rules.sum())
-            if not n:
-                return symbols[start:stop]
-            self.expanded += n
-            at = np.arange(len(symbols)) + np.cumsum(rules) - rules
-            out = np.empty(len(symbols) + n, np.int64)
-            out[at] = symbols
-            out[at[rules]] = self.left[symbols[rules] - self.first_rule]
-            out[at[rules] + 1] = self.right[symbols[rules] - self.first_rule]
-            symbols = out
+            ids = ~rules
+            out[at[ids]] = symbols[ids]
+            rule, at = symbols[rules] - self.first_rule, at[rules]
+            self.expanded += len(rule)
+            a = self.left[rule]
+            symbols, at = np.concatenate([a, self.right[rule]]), np.concatenate([at, at + self._lengths(a)])
+            lens = self._lengths(symbols)
+        return out
 
     def ids(self) -> np.ndarray:
         """All ids of the shard."""
-        return self._expand(self.symbols, 0, int(self.token_at[-1])).astype("<u4")
+        return self._expand(self.symbols, 0, int(self.token_at[-1]))
 
     def document(self, k: int, start: int = 0, length: int | None = None) -> np.ndarray:
         """Ids start to start + length of document k, from its symbols and the rules that hold them."""
@@ -250,7 +273,7 @@ class Shard:
         stop = tokens if length is None else min(tokens, start + length)
         if start >= stop:
             return np.zeros(0, "<u4")
-        return self._expand(self.doc_symbols(k), start, stop).astype("<u4")
+        return self._expand(self.doc_symbols(k), start, stop)
 
 
 def write_ids(

@@ -46,7 +46,7 @@ def test_counts_equal_a_plain_count():
     ids = rnd.integers(0, 4, 3000).astype(np.uint64)
     last = np.zeros(3000, bool)
     last[[0, 500, 501, 2999]] = True
-    _, number, n, pairs = repair_ids.frequent_pairs(ids, last, 1)
+    _, number, n, pairs, _ = repair_ids.frequent_pairs(ids, np.flatnonzero(~last), 1)
     got = {(int(p) >> 32, int(p) & 0xFFFFFFFF): int(c) for p, c in zip(pairs, n)}
     assert got == uses(ids.astype(np.int64), np.append(0, np.flatnonzero(last) + 1))
 
