@@ -50,7 +50,7 @@ SHARD_TOKENS = 1 << 20
 MIN_COUNT = 48
 MIN_USES = 8
 SLOT_BITS = 18
-PARTITION_BYTES = 32 << 20
+PARTITION_BYTES = 64 << 20
 _HEAD = struct.Struct("<4sIIIIIIQ")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 SHARD_SCHEMA = "part int, shard int, tokens_before long, n_docs long, n_tokens long, payload binary"
@@ -309,7 +309,7 @@ def write_ids(
             names = [c.split()[0] for c in SHARD_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
 
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text"):
             flat, at = enc.encode_ended(batch.column(1), end_id)
             keys = batch.column(0).to_pylist()
             a = 0
@@ -340,7 +340,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """One row per document from the shards: doc_id, start (ids of all documents before it),
     n_tokens and ids (binary: little-endian unsigned 32-bit).
 
-    Only the totals of the range partitions (one for 32 MB of text, or the shuffle partitions)
+    Only the totals of the range partitions (one for 64 MB of text, or the shuffle partitions)
     pass the driver, to be summed in order.
     """
     ship_package(spark)
