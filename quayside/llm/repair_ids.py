@@ -50,7 +50,7 @@ SHARD_TOKENS = 1 << 20
 MIN_COUNT = 48
 MIN_USES = 8
 SLOT_BITS = 18
-PARTITION_BYTES = 64 << 20
+PARTITION_ROWS = 1 << 16
 _HEAD = struct.Struct("<4sIIIIIIQ")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 SHARD_SCHEMA = "part int, shard int, tokens_before long, n_docs long, n_tokens long, payload binary"
@@ -287,13 +287,13 @@ def write_ids(
 ) -> None:
     """Encode whole texts and write their ids as shards, in ascending id order.
 
-    The number of range partitions grows with the bytes of text. Rows of one id (null ids, too)
-    are split by how their texts begin.
+    The number of range partitions grows with the rows (a Parquet table's footers have their
+    count); a task holds a shard at a time, however long its texts are. Rows of one id (null ids,
+    too) are split by how their texts begin.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    size = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), size // PARTITION_BYTES)
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // PARTITION_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = word_ids(tokenizer_file), TaskContext.get().partitionId()
@@ -340,7 +340,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """One row per document from the shards: doc_id, start (ids of all documents before it),
     n_tokens and ids (binary: little-endian unsigned 32-bit).
 
-    Only the totals of the range partitions (one for 64 MB of text, or the shuffle partitions)
+    Only the totals of the range partitions (one for 65,536 rows, or the shuffle partitions)
     pass the driver, to be summed in order.
     """
     ship_package(spark)

@@ -92,7 +92,7 @@ def test_ids_beyond_three_bytes():
 
 
 def test_rows_of_one_id_are_split_and_stay_in_order(spark, monkeypatch):
-    monkeypatch.setattr(repair_ids, "PARTITION_BYTES", 4096)
+    monkeypatch.setattr(repair_ids, "PARTITION_ROWS", 200)
     rows = [(None, f"w{k % 977:03d} some words of a text") for k in range(4000)] + [(k, "other") for k in range(50)]
     path = scratch_path(spark, "ids")
     repair_ids.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), path, vocabulary("word_bpe_49k.json"))
