@@ -533,6 +533,21 @@ FROM raw"""
         f"{with_(FIXTURE_BASE)} SELECT {', '.join(BUSINESS_COLUMNS)}, _row_hash, '2001-07-01' AS load_day "
         f"FROM raw WHERE _source_file = 'orders_2001-05-31.csv'"
     )
+    # Three batches of the day end as one run over all of them.
+    lies = "order_id, _source_file, _row_hash, _loaded_at"
+    s["gold_increments"] = (
+        f"{with_(FIXTURE_BASE, day, gold_cte)} SELECT 'gold' AS destination, {lies}, NULL AS reason FROM gold "
+        f"UNION ALL SELECT 'quarantine', {lies}, failure_reasons FROM d_staged WHERE NOT is_valid"
+    )
+    s["increment_log"] = s["check_log"]
+    # Two days of state: the second upload of file a is dropped, the last one is beyond it.
+    in_a = "SELECT _row_hash FROM raw WHERE _source_file = 'orders_2001-05-31.csv'"
+    in_b = "SELECT _row_hash FROM raw WHERE _source_file = 'orders_2001-06-01a.csv'"
+    s["stream_reuploads"] = (
+        f"{with_(FIXTURE_BASE)} SELECT DISTINCT _row_hash, TIMESTAMP '2001-06-01 07:00:00' AS _loaded_at FROM ({in_a}) "
+        f"UNION ALL SELECT *, TIMESTAMP '2001-06-12 07:00:00' FROM ({in_b} EXCEPT {in_a}) "
+        f"UNION ALL SELECT DISTINCT _row_hash, TIMESTAMP '2001-06-12 08:00:00' FROM ({in_a})"
+    )
     s["sql_by_reason"] = s["quarantine_by_reason"]
     s["quarantine_written"] = (
         f"SELECT {', '.join(BUSINESS_COLUMNS)}, _row_hash, _failure_reason FROM ({s['quarantine_orders']})"

@@ -87,6 +87,22 @@ def check_log(
     long = agg.select(
         F.expr(f"stack({len(arms)}, {', '.join(arms)}) AS (check_name, failing_rows, total_rows)")
     )
+    return _log_rows(long, as_of, run_ts)
+
+
+def add_to_log(log: DataFrame, earlier: DataFrame, as_of: dt.date | str, run_ts: dt.datetime | str) -> DataFrame:
+    """The run day's log over the rows of ``log`` and of ``earlier``, logs of disjoint rows of the day.
+
+    The checks' counts add up; the reconciliation, of all-time counts, is that of ``log``.
+    """
+    counts = log.unionByName(earlier.select(*log.columns)).where(F.col("check_name") != RECONCILIATION_CHECK)
+    counts = counts.groupBy("check_name").agg(F.sum("failing_rows").alias("failing_rows"), F.sum("total_rows").alias("total_rows"))
+    reconciled = log.where(F.col("check_name") == RECONCILIATION_CHECK).select(*counts.columns)
+    return _log_rows(counts.unionByName(reconciled), as_of, run_ts)
+
+
+def _log_rows(long: DataFrame, as_of: dt.date | str, run_ts: dt.datetime | str) -> DataFrame:
+    """Log rows of (check_name, failing_rows, total_rows)."""
     failing, whole = F.col("failing_rows"), F.col("total_rows")
     part, of = RECONCILIATION_TOLERANCE
     within = (whole > 0) & (failing * of < whole * part)
@@ -104,4 +120,4 @@ def check_log(
     ).select(*CHECK_LOG_COLUMNS)
 
 
-__all__ = ["round_pct", "check_log", "checks_for"]
+__all__ = ["add_to_log", "round_pct", "check_log", "checks_for"]

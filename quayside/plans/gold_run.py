@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,7 +36,7 @@ from quayside.operators.dedupe import ROW_ID_COLUMNS
 from quayside.operators.route import candidate_dates, gold_rows, quarantine_rows, skip_already_loaded, ts_lit
 from quayside.plans.metrics import write_metrics
 from quayside.plans.observed import observed_metrics
-from quayside.schema import GOLD_SCHEMA, QUARANTINE_DATE
+from quayside.schema import GOLD_SCHEMA, LOAD_DATE, QUARANTINE_DATE
 from quayside.session import Lakehouse, drop_folder
 from quayside.sinks.members import possible, read_gold_dates, read_members, write_members
 from quayside.sinks.tables import (
@@ -49,6 +50,7 @@ from quayside.sinks.tables import (
     read_gold,
     write_check_log,
     write_gold,
+    write_numbering,
     write_quarantine,
 )
 from quayside.sources.raw_table import raw_day, raw_row_count, read_raw, read_raw_day
@@ -62,7 +64,7 @@ class GoldRunResult:
     quarantined: int
 
 
-def _observed(obs: Observation) -> int:
+def observed_rows(obs: Observation) -> int:
     """Observed row count; an empty plan that AQE removed reports no metric, which is 0."""
     return int(observed_metrics(obs).get("n", 0))
 
@@ -71,9 +73,9 @@ def _day(as_of: dt.date | str) -> dt.date:
     return as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
 
 
-def raw_state(raw: DataFrame) -> str:
+def raw_state(files: Iterable[str]) -> str:
     """A digest of the raw files of a day: equal only if no batch was added, replaced or removed."""
-    return hashlib.sha256("\n".join(sorted(raw.inputFiles())).encode()).hexdigest()
+    return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()
 
 
 def chosen_before(gold: DataFrame, day: dt.date) -> DataFrame:
@@ -99,19 +101,24 @@ def stage_to_storage(
     observation: Observation | None = None,
     run: str | None = None,
 ) -> DataFrame:
-    """Stage the run day, write it to a folder of its own under the staging folder; return the copy.
+    """Stage the run day, write it to a folder of its own under the staging folder; return the copy."""
+    day = _day(as_of)
+    staged = stage(raw_day(raw, day), day, kept=kept)
+    return store_staged(staged, staging_folder(lake, day, run or new_run(day)), observation)
+
+
+def store_staged(staged: DataFrame, path: str, observation: Observation | None = None) -> DataFrame:
+    """Write staged rows to a folder; return the copy.
 
     ``observation`` gets the row count (n) and the order dates of valid rows (dates), a
     set bounded by the calendar: they are no later than the run day, with four-digit years.
     """
-    day = _day(as_of)
-    path = staging_folder(lake, day, run or new_run(day))
-    staged = stage(raw_day(raw, day), day, kept=kept).drop(*ROW_ID_COLUMNS)
+    staged = staged.drop(*ROW_ID_COLUMNS)
     if observation is not None:
         dates = F.collect_set(F.when(F.col("is_valid"), F.col("order_date_cast")))
         staged = staged.observe(observation, F.count(F.lit(1)).alias("n"), dates.alias("dates"))
     staged.write.parquet(path)
-    return spark.read.option("basePath", path).parquet(path)
+    return staged.sparkSession.read.option("basePath", path).parquet(path)
 
 
 def gold_day(spark: SparkSession, lake: Lakehouse, before: list, runs: list[str]) -> DataFrame | None:
@@ -147,6 +154,32 @@ def new_in_gold(
     return candidates.join(known, ["order_date", "_row_hash"], "left_anti")
 
 
+def write_rejected(staged: DataFrame, lake: Lakehouse, day: dt.date, run: str, run_ts: dt.datetime | str) -> int:
+    """Write the run's quarantine; returns its rows."""
+    obs = Observation("quarantine")
+    write_quarantine(quarantine_rows(staged, run_ts, day).observe(obs, F.count(F.lit(1)).alias("n")), lake.quarantine, day, run)
+    return observed_rows(obs)
+
+
+def write_valid(
+    spark: SparkSession,
+    staged: DataFrame,
+    lake: Lakehouse,
+    runs: list[str],
+    dates: list[dt.date],
+    run: str,
+    run_ts: dt.datetime | str,
+    hits_path: str,
+) -> int:
+    """Append the valid rows that are not in gold yet, and the run's summary; returns the rows appended."""
+    obs, valid = Observation("gold"), gold_rows(staged, run_ts)
+    new_gold = new_in_gold(spark, valid, lake, runs, dates, hits_path)
+    write_gold(new_gold.observe(obs, F.count(F.lit(1)).alias("n")), lake.gold, run)
+    # Of all valid rows: those that are in gold by another run are members by right.
+    write_members(valid, lake.gold, run)
+    return observed_rows(obs)
+
+
 def run_gold(
     spark: SparkSession,
     lake: Lakehouse,
@@ -155,12 +188,17 @@ def run_gold(
     *,
     all_eight: bool = False,
     recount: bool = False,
+    keep_numbering: bool = False,
 ) -> GoldRunResult:
-    """Run the gold pipeline for one load day (idempotent; see module docstring)."""
+    """Run the gold pipeline for one load day (idempotent; see module docstring).
+
+    With ``keep_numbering`` the first row per order id is stored, so that runs over new rows
+    alone can extend the day (``plans.gold_increment``).
+    """
     day = _day(as_of)
     commits = read_commits(spark, lake.gold)
     raw = read_raw_day(spark, lake.raw, day)
-    state = raw_state(raw)
+    state = raw_state(raw.inputFiles())
     before = [c for c in commits if c.as_of == day]
     # The same files as when the day first ran: its numbering needs no gold, and gold has its rows.
     unchanged = bool(before) and all(c.raw_state == state for c in before)
@@ -170,25 +208,20 @@ def run_gold(
 
     run = new_run(day)
     hits_path = f"{lake.staging}/possible_hits/{run}"
-    gold_obs, quarantine_obs, staged_obs = Observation("gold"), Observation("quarantine"), Observation("staged")
+    staged_obs = Observation("staged")
     try:
         # Only the run day's raw folder is listed for staging.
         st = stage_to_storage(spark, raw, lake, day, kept, staged_obs, run)
 
-        rejected = quarantine_rows(st, run_ts, day).observe(quarantine_obs, F.count(F.lit(1)).alias("n"))
-        write_quarantine(rejected, lake.quarantine, day, run)
-
+        quarantined = write_rejected(st, lake, day, run, run_ts)
         appended = 0
         if not unchanged:
             dates = sorted(observed_metrics(staged_obs).get("dates") or [])
-            valid = gold_rows(st, run_ts)
-            new_gold = new_in_gold(spark, valid, lake, runs, dates, hits_path)
-            write_gold(new_gold.observe(gold_obs, F.count(F.lit(1)).alias("n")), lake.gold, run)
-            appended = _observed(gold_obs)
-            # Of all valid rows: those that are in gold by another run are members by right.
-            write_members(valid, lake.gold, run)
+            appended = write_valid(spark, st, lake, runs, dates, run, run_ts, hits_path)
         else:
             write_members(gold_rows(st, run_ts).limit(0), lake.gold, run)
+        if keep_numbering:
+            write_numbering(st, lake.numbering, day, run)
 
         if recount:
             mine = spark.range(appended).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in GOLD_SCHEMA.fields])
@@ -202,15 +235,14 @@ def run_gold(
         drop_folder(spark, staging_folder(lake, day, run))
         drop_folder(spark, hits_path)
 
-    result = GoldRunResult(
-        as_of=day, staged_rows=_observed(staged_obs), gold_appended=appended, quarantined=_observed(quarantine_obs)
-    )
+    result = GoldRunResult(as_of=day, staged_rows=observed_rows(staged_obs), gold_appended=appended, quarantined=quarantined)
     commit_run(spark, lake.gold, run, day, appended, result.quarantined, state)
-    drop_replaced(spark, lake.quarantine, QUARANTINE_DATE, day, run)
-    drop_replaced(spark, lake.check_log, "run_date", day, run)
+    drop_replaced(spark, lake.quarantine, QUARANTINE_DATE, day, [run])
+    drop_replaced(spark, lake.check_log, "run_date", day, [run])
+    drop_replaced(spark, lake.numbering, LOAD_DATE, day, [run])
     values = {"staged_rows": result.staged_rows, "gold_appended": appended, "quarantined": result.quarantined}
     write_metrics(spark, lake.run_metrics, "gold", f"gold-{day.isoformat()}", run_ts, values)
     return result
 
 
-__all__ = ["GoldRunResult", "chosen_before", "gold_day", "new_in_gold", "raw_state", "stage_to_storage", "run_gold"]
+__all__ = ["GoldRunResult", "chosen_before", "gold_day", "new_in_gold", "raw_state", "stage_to_storage", "store_staged", "run_gold"]

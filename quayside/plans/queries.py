@@ -23,6 +23,7 @@ from quayside.operators.checklog import check_log
 from quayside.operators.checks import DEDUPE_ORDER, add_casts, stage
 from quayside.operators.dedupe import mark_later_rows, with_row_ids
 from quayside.operators.route import gold_rows, quarantine_rows
+from quayside.plans.gold_increment import extend_gold
 from quayside.plans.gold_run import run_gold
 from quayside.plans.views import register_views, report
 from quayside.schema import (
@@ -37,6 +38,7 @@ from quayside.plans.metrics import read_metrics
 from quayside.session import Lakehouse, scratch_path
 from quayside.sources.csv_files import write_csv
 from quayside.streaming.ingest_stream import start_ingest_stream
+from quayside.streaming.unique_rows import start_unique_stream
 from quayside.sinks.tables import (
     compact_gold,
     read_check_log,
@@ -524,6 +526,52 @@ def q_stream_gold(spark, sf_dir):
     return gold.select(*[c for c in GOLD_COLUMNS if c != "_source_file"], "source_group")
 
 
+def _increments(spark, sf_dir) -> Lakehouse:
+    """The run day's rows landed in three batches, gold brought up to date after each."""
+    lake, raw = Lakehouse.fresh(spark, "lake"), _raw(spark, sf_dir).select(*RAW_COLUMNS)
+    later = F.coalesce(F.pmod(F.xxhash64("order_id"), F.lit(2)), F.lit(0)) == 1  # an id is in one part
+    append_raw(raw.where(F.col("_source_file") == CSV_GROUPS[0][1]), lake.raw, "b0")
+    for batch, (source, part) in {"b1": (1, F.lit(True)), "b2": (2, ~later), "b3": (2, later)}.items():
+        append_raw(raw.where((F.col("_source_file") == CSV_GROUPS[source][1]) & part), lake.raw, batch)
+        extend_gold(spark, lake, AS_OF, RUN_TS, [batch])
+    return lake
+
+
+def q_gold_increments(spark, sf_dir):
+    """Where each row of the day lies after three batches, as after one run over all of them."""
+    lake = _increments(spark, sf_dir)
+    cols = ["order_id", "_source_file", "_row_hash", "_loaded_at"]
+    gold = read_gold(spark, lake.gold).select(F.lit("gold").alias("destination"), *cols, F.lit(None).cast("string").alias("reason"))
+    rejected = read_quarantine(spark, lake.quarantine)
+    return gold.unionByName(rejected.select(F.lit("quarantine").alias("destination"), *cols, F.col("_failure_reason").alias("reason")))
+
+
+def q_increment_log(spark, sf_dir):
+    """The check log of the day after three batches, as after one run over all of them."""
+    return read_check_log(spark, _increments(spark, sf_dir).check_log)
+
+
+#: Uploads of q_stream_reuploads: (file group, landing time); the horizon is two days.
+UPLOADS = (
+    (0, "2001-06-01 07:00:00"),
+    (0, "2001-06-02 07:00:00"),
+    (1, "2001-06-12 07:00:00"),
+    (0, "2001-06-12 08:00:00"),
+)
+
+
+def q_stream_reuploads(spark, sf_dir):
+    """Rows that a stream takes for first landings: a file again within the horizon, other rows, the file again beyond it."""
+    lake, out = Lakehouse.fresh(spark, "lake"), scratch_path(spark, "unique-rows")
+    ckpt = scratch_path(spark, "stream-checkpoint")
+    raw = _raw(spark, sf_dir).select(*RAW_COLUMNS)
+    for n, (source, at) in enumerate(UPLOADS):
+        rows = raw.where(F.col("_source_file") == CSV_GROUPS[source][1])
+        append_raw(rows.withColumn("_loaded_at", F.to_timestamp(F.lit(at))), lake.raw, f"u{n}")
+        start_unique_stream(spark, lake.raw, out, ckpt, dt.timedelta(days=2)).awaitTermination()
+    return spark.read.parquet(out).select("_row_hash", "_loaded_at")
+
+
 # ---- profile ----------------------------------------------------------------------------
 
 
@@ -570,6 +618,9 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": q_stream_ingest,
     "stream_gold": q_stream_gold,
     "stream_late_file": q_stream_late_file,
+    "stream_reuploads": q_stream_reuploads,
+    "gold_increments": q_gold_increments,
+    "increment_log": q_increment_log,
     "landing_rejects": q_landing_rejects,
     "csv_edge_cases": q_csv_edge_cases,
     "stream_forgotten": q_stream_forgotten,

@@ -176,6 +176,10 @@ class Lakehouse:
     def check_log(self) -> str:
         return f"{self.root}/gold/dq_run_log"
 
+    @property
+    def numbering(self) -> str:
+        return f"{self.root}/gold/orders_numbering"
+
     @property
     def staging(self) -> str:
         return f"{self.root}/_staging"

@@ -5,11 +5,13 @@
   order_date puts each day in one task and lets AQE split a hot day.
 * quarantine: partitioned by the run day; a run replaces only its own day.
 * check log: partitioned by run_date; a run replaces only its own day.
+* numbering: partitioned by load day, the first row per order id of the day's run. It lets
+  a run over new rows alone extend the day (``plans.gold_increment``).
 
 Below that, every table has a folder per run. A run's rows count once its **commit** is
 there: one small record in ``run_commits`` beside the tables, written last, with the run's
-counts. Readers take gold of committed runs, and quarantine and check log of each day's last
-committed run, so a run that breaks off anywhere is never seen, and one commit shows all
+counts. Readers take gold of committed runs, the check log of each day's last committed run, and its
+quarantine with that of the runs it extends, so a run that breaks off anywhere is never seen, and one commit shows all
 three tables at once. The commits (one row per run) are read by the driver; they become a
 partition filter. Gold's total is their sum: no file of gold is opened for it.
 """
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -29,11 +31,14 @@ from quayside.schema import (
     CHECK_LOG_SCHEMA,
     GOLD_SCHEMA,
     QUARANTINE_COLUMNS,
+    LOAD_DATE,
     QUARANTINE_DATE,
+    RAW_SCHEMA,
     RUN,
 )
 from quayside.session import hadoop_path, path_exists
-from quayside.sinks.members import drop_members, write_members
+from quayside.operators.checks import DEDUPE_ORDER
+from quayside.sinks.members import drop_members, folder_names, write_members
 
 GOLD_CLUSTER = ("order_date", "store_name", "category")
 
@@ -45,6 +50,8 @@ QUARANTINE_SCHEMA = T.StructType(
     + [T.StructField(QUARANTINE_DATE, T.DateType(), True)]
 )
 
+NUMBERING_SCHEMA = T.StructType([RAW_SCHEMA[c] for c in ("order_id", *DEDUPE_ORDER)])
+
 
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
@@ -70,6 +77,7 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("quarantined", T.LongType(), True),
         T.StructField("raw_state", T.StringType(), True),
         T.StructField("replaces", T.ArrayType(T.StringType()), True),
+        T.StructField("extends", T.StringType(), True),
         T.StructField(RUN, T.StringType(), True),
     ]
 )
@@ -104,13 +112,14 @@ def commit_run(
     quarantined: int,
     raw_state: str = "",
     replaces: list[str] | None = None,
+    extends: str | None = None,
 ) -> None:
     """Make a run's rows count, and gold rows of the runs it replaces no longer.
 
-    One writer at a time, as the day's schedule has.
+    With ``extends`` the run covers only rows that came after that run of its day. One writer at a time, as the day's schedule has.
     """
     seq = 1 + max((c.seq for c in read_commits(spark, table)), default=0)
-    row = spark.createDataFrame([(seq, day, gold_appended, quarantined, raw_state, replaces or [], run)], COMMIT_SCHEMA)
+    row = spark.createDataFrame([(seq, day, gold_appended, quarantined, raw_state, replaces or [], extends, run)], COMMIT_SCHEMA)
     row.drop(RUN).coalesce(1).write.mode("overwrite").parquet(f"{commits_path(table)}/{RUN}={run}")
 
 
@@ -119,6 +128,21 @@ def last_runs(commits: list[Row]) -> list[str]:
     return list({c.as_of: c[RUN] for c in commits if c.as_of is not None}.values())
 
 
+def day_runs(commits: list[Row], day: dt.date | None) -> list[Row]:
+    """The day's last run over all its rows and the runs that extended it since, in their order."""
+    runs: list[Row] = []
+    for c in commits:
+        if c.as_of == day:
+            runs = [*runs, c] if c.extends else [c]
+    return runs
+
+
+def quarantine_runs(commits: list[Row]) -> list[str]:
+    """The runs whose quarantine counts."""
+    days = {c.as_of for c in commits if c.as_of is not None}
+    return [c[RUN] for d in sorted(days) for c in day_runs(commits, d)]
+
+
 def gold_runs(commits: list[Row]) -> list[str]:
     """The runs whose gold rows count: committed, and not compacted into another."""
     replaced = {r for c in commits for r in c.replaces or []}
@@ -161,11 +185,18 @@ def write_check_log(rows: DataFrame, path: str, day: dt.date, run: str) -> None:
     rows.drop("run_date").coalesce(1).write.mode("overwrite").parquet(f"{day_folder(path, 'run_date', day)}/{RUN}={run}")
 
 
-def drop_replaced(spark: SparkSession, path: str, column: str, day: dt.date, run: str) -> None:
-    """Remove what other runs left in a day's folder of the quarantine or the check log."""
+def write_numbering(staged: DataFrame, path: str, day: dt.date, run: str) -> None:
+    """Write the first row per order id of a run's staged rows: the id and what rows are ordered by."""
+    firsts = staged.where(~F.col("duplicate_order_id")).select(*NUMBERING_SCHEMA.fieldNames())
+    firsts.write.mode("overwrite").parquet(f"{day_folder(path, LOAD_DATE, day)}/{RUN}={run}")
+
+
+def drop_replaced(spark: SparkSession, path: str, column: str, day: dt.date, runs: Collection[str]) -> None:
+    """Remove what runs other than these left in a day's folder of the quarantine, the check log or the numbering."""
+    keep = {f"{RUN}={r}" for r in runs}
     fs, folder = hadoop_path(spark, day_folder(path, column, day))
     for f in fs.listStatus(folder) if fs.exists(folder) else []:
-        if f.getPath().getName() != f"{RUN}={run}":
+        if f.getPath().getName() not in keep:
             fs.delete(f.getPath(), True)
 
 
@@ -214,13 +245,22 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame | None:
-    return _read(spark, path, QUARANTINE_SCHEMA, last_runs(read_commits(spark, path)))
+    return _read(spark, path, QUARANTINE_SCHEMA, quarantine_runs(read_commits(spark, path)))
 
 
 def read_check_log(spark: SparkSession, path: str) -> DataFrame | None:
     return _read(spark, path, CHECK_LOG_SCHEMA, last_runs(read_commits(spark, path)))
 
 
+def read_numbering(spark: SparkSession, path: str, day: dt.date, runs: list[str]) -> DataFrame | None:
+    """The first row per order id that these runs of a day found; None if one of them kept none."""
+    folder = day_folder(path, LOAD_DATE, day)
+    names = [f"{RUN}={r}" for r in runs]
+    if not names or not set(names) <= folder_names(spark, folder):
+        return None
+    return spark.read.schema(NUMBERING_SCHEMA).parquet(*[f"{folder}/{n}" for n in names])
+
+
 def or_empty(spark: SparkSession, df: DataFrame | None, schema: T.StructType) -> DataFrame:
     return df if df is not None else spark.createDataFrame([], schema)
 
@@ -235,6 +275,7 @@ __all__ = [
     "commit_run",
     "commits_path",
     "compact_gold",
+    "day_runs",
     "drop_replaced",
     "drop_uncounted",
     "gold_runs",
@@ -242,7 +283,9 @@ __all__ = [
     "new_run",
     "read_commits",
     "write_check_log",
+    "write_numbering",
     "read_gold",
+    "read_numbering",
     "read_quarantine",
     "read_check_log",
     "or_empty",

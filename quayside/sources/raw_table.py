@@ -151,6 +151,16 @@ def read_raw_day(spark: SparkSession, raw_path: str, as_of: dt.date | str) -> Da
     return raw_day(spark.read.schema(RAW_TABLE_SCHEMA).option("basePath", raw_path).parquet(folder), day)
 
 
+def read_raw_batches(spark: SparkSession, raw_path: str, as_of: dt.date | str, batches: list[str]) -> DataFrame:
+    """The run day's raw rows of these batches; no other batch's folder is listed."""
+    day = as_of.isoformat() if isinstance(as_of, dt.date) else str(as_of)
+    folders = [batch_folder(spark, f"{raw_path.rstrip('/')}/{LOAD_DATE}={day}", b) for b in batches]
+    folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], RAW_TABLE_SCHEMA)
+    return raw_day(spark.read.schema(RAW_TABLE_SCHEMA).option("basePath", raw_path).parquet(*folders), day)
+
+
 def raw_day(raw: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Rows loaded on the run day: a filter on the partition column (partition pruning)."""
     return raw.where(F.col(LOAD_DATE) == as_date_lit(as_of))
@@ -193,6 +203,7 @@ __all__ = [
     "append_raw",
     "read_raw",
     "raw_day",
+    "read_raw_batches",
     "read_raw_day",
     "land_fixture",
     "fixture_raw_table",
