@@ -11,6 +11,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -79,6 +81,22 @@ def apply_session_conf(spark: SparkSession) -> None:
             raise RuntimeError(f"{k} must be {v} and cannot be set on this session")
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Temporarily change runtime SQL settings for the plans built and run inside."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; a temporary one is set up only if none is configured."""
     sc = spark.sparkContext
@@ -207,6 +225,7 @@ __all__ = [
     "REQUIRED_CONF",
     "build_session",
     "apply_session_conf",
+    "session_conf",
     "checkpoint_root",
     "scratch_path",
     "hadoop_path",

@@ -20,8 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Collection, Iterator
-from contextlib import contextmanager
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +35,7 @@ from quayside.schema import (
     RAW_SCHEMA,
     RUN,
 )
-from quayside.session import hadoop_path, path_exists
+from quayside.session import hadoop_path, path_exists, session_conf
 from quayside.operators.checks import DEDUPE_ORDER
 from quayside.sinks.members import drop_members, folder_names, write_members
 
@@ -53,22 +52,6 @@ QUARANTINE_SCHEMA = T.StructType(
 NUMBERING_SCHEMA = T.StructType([RAW_SCHEMA[c] for c in ("order_id", *DEDUPE_ORDER)])
 
 
-@contextmanager
-def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Temporarily change runtime SQL settings for the plans built and run inside."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("seq", T.LongType(), True),

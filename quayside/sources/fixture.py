@@ -2,9 +2,11 @@
 
 One raw row per lineitem, joined to its order, part, customer and nation. The dirt is
 chosen deterministically from ``h = o_orderkey*7 + l_linenumber*13 + l_partkey`` (see
-FIXTURES.md); the oracle runs the same derivation in DuckDB. Joins are left to the
-planner: nation (and, at small scale, part and customer) fall under the broadcast size
-threshold, the lineitem-orders join shuffles on the order key.
+FIXTURES.md); the oracle runs the same derivation in DuckDB. Customers and nations join the
+orders, parts the lines, so no shuffle moves a customer's columns once per line: nation (and, at
+small scale, part and customer) fall under the broadcast size threshold. The join of the
+two, on the order key, is a sort-merge join at any size: it deals the rows to as many tasks as
+there are shuffle partitions, which the landing then writes from.
 """
 
 from __future__ import annotations
@@ -63,12 +65,11 @@ def fixture_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    j = (
-        li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
+    lines = li.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    j = lines.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     h = F.col("o_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey")
     od = F.to_date(F.col("o_orderdate"))
     ext = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from quayside.operators.checks import as_date_lit
 from quayside.plans.observed import observed_metrics
 from quayside.schema import LOAD_DATE, RAW_SCHEMA
-from quayside.session import path_exists, scratch_path
+from quayside.session import path_exists, scratch_path, session_conf
 from quayside.sources.fixture import fixture_raw_orders, with_load_date
 
 BATCH = "_batch"
@@ -28,6 +28,8 @@ RAW_TABLE_SCHEMA = T.StructType(
 
 # Rows per output file; keeps files of a large day at a sensible size.
 MAX_RECORDS_PER_FILE = 5_000_000
+# Load days whose files a landing task holds open before it sorts its rows by day.
+OPEN_DAYS = 3
 
 
 def append_raw(rows: DataFrame, raw_path: str, batch_id: str | None = None) -> str:
@@ -35,8 +37,8 @@ def append_raw(rows: DataFrame, raw_path: str, batch_id: str | None = None) -> s
 
     A new batch id appends; a batch id written before is replaced (idempotent
     replay): all its partitions go, also those of load days that the batch no longer
-    has. No shuffle: a batch covers one or two load days, so each task writes a
-    file per day it holds. An empty batch writes nothing. Last, the batch's row count, taken
+    has. No shuffle and no sort: a batch covers one or two load days, so each task writes a
+    file per day it holds, all open at once (``OPEN_DAYS``; beyond that they are sorted). An empty batch writes nothing. Last, the batch's row count, taken
     from the write, goes to the table of counts (``raw_counts``).
     """
     fs, old = None, []
@@ -46,14 +48,15 @@ def append_raw(rows: DataFrame, raw_path: str, batch_id: str | None = None) -> s
         fs, old = _batch_files(rows.sparkSession, raw_path, batch_id)
     out = with_load_date(rows.select(*RAW_SCHEMA.fieldNames())).withColumn(BATCH, F.lit(batch_id))
     obs = Observation("raw-rows")
-    (
-        out.observe(obs, F.count(F.lit(1)).alias("n"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(LOAD_DATE, BATCH)
-        .parquet(raw_path)
-    )
+    with session_conf(rows.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_DAYS)}):
+        (
+            out.observe(obs, F.count(F.lit(1)).alias("n"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            .partitionBy(LOAD_DATE, BATCH)
+            .parquet(raw_path)
+        )
     for path in old:  # what the write did not replace; only now, as the rows may have been read from there
         fs.delete(path, False)
     n = int(observed_metrics(obs).get("n", 0))
@@ -172,16 +175,14 @@ _LANDED: dict[tuple[str, str], str] = {}
 def land_fixture(spark: SparkSession, sf_dir: str) -> str:
     """Land the fixture's raw rows once per application; returns the raw table path.
 
-    The adapter's join output is small enough for AQE to coalesce into one task,
-    which would leave one unsplittable file per day and make every later scan of the
-    day single-task; the rows are spread over the cluster's parallelism instead, as
-    a landing of many source files would be.
+    The tasks of the adapter's last join write it, as many as the rows need (and, by the
+    session's default, no fewer than the cluster has cores), so rows are not shuffled again to
+    land and no task's share grows with the table.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _LANDED:
         path = scratch_path(spark, "fixture-raw")
-        rows = fixture_raw_orders(spark, sf_dir).repartition(max(1, spark.sparkContext.defaultParallelism))
-        append_raw(rows, path)
+        append_raw(fixture_raw_orders(spark, sf_dir), path)
         _LANDED[key] = path
     return _LANDED[key]
 

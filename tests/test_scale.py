@@ -1,7 +1,9 @@
 """What keeps time, shuffle and memory in step with the input."""
 
+from helpers import SF_SMALL
 from quayside.sources.csv_files import file_table, read_lines, read_order_csvs, stage_lines
 from quayside.session import scratch_path
+from quayside.sources.fixture import fixture_raw_orders
 
 
 def _plan(df) -> str:
@@ -34,3 +36,10 @@ def test_places_of_columns_are_told_per_file(spark, tmp_landing):
     above_join = _plan(batch.rows).split("BroadcastHashJoin")[0]
     assert "array_position" not in above_join
     batch.close()
+
+
+def test_landed_rows_are_not_shuffled_behind_the_joins(spark):
+    plan = _plan(fixture_raw_orders(spark, SF_SMALL))
+    above_join, below = plan.split("SortMergeJoin", 1)
+    assert "Exchange" not in above_join
+    assert "l_orderkey" in below.splitlines()[0]
