@@ -3,9 +3,11 @@
 The default ``aggregate`` method never gathers one key's rows into one task: the first
 row of every key is found with ``min(struct(order..., row id))`` (partially aggregated
 on the map side, so a key holding a third of all rows costs the same as any other).
-Only keys that occur more than once, a row each, are joined back: a small side, which is
-broadcast where it is small, else a shuffle join whose hot keys adaptive execution
-splits. NULL keys form one group, as in a window partition.
+The first rows become bitmaps, a bit per row for every 32,768 places of a file, which are
+written to scratch storage and joined back by file and place: the rows themselves are not
+shuffled while the bitmaps, by their count, can be broadcast (some 500 million rows), and
+beyond that no join key has more than 32,768 of them. NULL keys form one group, as in a window
+partition.
 
 The ``window`` method is the literal row_number formulation, kept for small inputs
 and for comparison; it sorts each key's rows in one task.
@@ -15,14 +17,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from quayside.session import checkpoint_root
+from quayside.session import checkpoint_root, scratch_path
 
 ROW_ID_COLUMNS = ("_rid_file", "_rid_row")
 
+#: Rows of a bitmap: the bits of Spark's bitmap functions.
+BITMAP_ROWS = 32_768
+#: Bitmaps up to this many bytes are broadcast to the rows.
+BROADCAST_BYTES = 64 << 20
+
 
 def with_row_ids(df: DataFrame) -> DataFrame:
     """Add a unique row id that is stable under recomputation.
@@ -82,22 +89,41 @@ def mark_later_rows(
     if method != "aggregate":
         raise ValueError(f"unknown method {method!r}")
 
-    # GROUP BY keeps all NULL keys in one group, as a window partition does. Most keys
-    # occur once and need no join: only repeated ones go on.
+    # GROUP BY keeps all NULL keys in one group, as a window partition does.
     rows, order = ordered(df.select(key, *order_by, *ROW_ID_COLUMNS))
+    firsts = rows.groupBy(key).agg(F.min(F.struct(*order)).alias("_first")).select(*[f"_first.{c}" for c in ROW_ID_COLUMNS])
+    marks = first_row_bitmaps(firsts, scratch_path(df.sparkSession, "first-rows"))
     file, row = ROW_ID_COLUMNS
-    repeated = (
-        rows.groupBy(key)
-        .agg(F.min(F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .select(F.col(key).alias("_key"), F.col(f"_first.{file}").alias("_file"), F.col(f"_first.{row}").alias("_row"))
-    )
-    is_first = (F.col(file) == F.col("_file")) & (F.col(row) == F.col("_row"))
+    place = F.col(row).bitwiseAND(F.lit(BITMAP_ROWS - 1))
+    word = F.get("_words", F.shiftright(place, 6).cast("int"))
+    bit = place.bitwiseAND(F.lit(63)).bitwiseXOR(F.lit(56))  # a bitmap's bytes count from the word's high end
+    is_first = F.call_function("getbit", word, bit.cast("int")) == 1
     return (
-        df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
-        .withColumn(flag, F.coalesce(~is_first, F.lit(False)))
-        .drop("_key", "_file", "_row")
+        df.withColumn("_block", _block(row))
+        .join(marks, (F.col(file) == F.col("_file")) & (F.col("_block") == F.col("_in")), "left")
+        .withColumn(flag, ~F.coalesce(is_first, F.lit(False)))
+        .select(*df.columns, flag)
+    )
+
+
+def _block(row: str) -> Column:
+    return F.shiftright(F.col(row), BITMAP_ROWS.bit_length() - 1)
+
+
+def first_row_bitmaps(firsts: DataFrame, path: str) -> DataFrame:
+    """(_file, _in, _words): a bit per row of every block of a file, set for these row ids; written to ``path`` once."""
+    file, row = ROW_ID_COLUMNS
+    place = F.col(row).bitwiseAND(F.lit(BITMAP_ROWS - 1))
+    blocks = firsts.groupBy(F.col(file).alias("_file"), _block(row).alias("_in")).agg(F.bitmap_construct_agg(place).alias("_bits"))
+    words = F.transform(
+        F.sequence(F.lit(0), F.lit(BITMAP_ROWS // 64 - 1)),
+        lambda i: F.conv(F.hex(F.substring("_bits", i * 8 + 1, F.lit(8))), 16, -10).cast("bigint"),
     )
+    blocks = blocks.select("_file", "_in", words.alias("_words"))
+    blocks.write.parquet(path)
+    stored = firsts.sparkSession.read.schema(blocks.schema).parquet(path)
+    small = stored.count() * (BITMAP_ROWS // 8 + 256) <= BROADCAST_BYTES
+    return F.broadcast(stored) if small else stored
 
 
-__all__ = ["ROW_ID_COLUMNS", "with_row_ids", "mark_later_rows"]
+__all__ = ["ROW_ID_COLUMNS", "first_row_bitmaps", "with_row_ids", "mark_later_rows"]

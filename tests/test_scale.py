@@ -1,6 +1,9 @@
 """What keeps time, shuffle and memory in step with the input."""
 
+from pyspark.sql import functions as F
+
 from helpers import SF_SMALL
+from quayside.operators.dedupe import BITMAP_ROWS, mark_later_rows, with_row_ids
 from quayside.sources.csv_files import file_table, read_lines, read_order_csvs, stage_lines
 from quayside.session import scratch_path
 from quayside.sources.fixture import fixture_raw_orders
@@ -43,3 +46,16 @@ def test_landed_rows_are_not_shuffled_behind_the_joins(spark):
     above_join, below = plan.split("SortMergeJoin", 1)
     assert "Exchange" not in above_join
     assert "l_orderkey" in below.splitlines()[0]
+
+
+def test_numbering_shuffles_no_rows_and_is_that_of_a_window(spark):
+    path = scratch_path(spark, "rows")
+    key = F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") * 31 % 50_021).cast("string"))
+    rows = spark.range(2 * BITMAP_ROWS + 500).select(key.alias("k"), (F.col("id") % 11).alias("t"), F.hash("id").alias("h"))
+    rows.repartition(2, "h").write.parquet(path)
+    df = with_row_ids(spark.read.parquet(path))
+    marked = mark_later_rows(df, "k", ["t", "h"], "later")
+    assert "Exchange hashpartitioning" not in _plan(marked)
+    expected = mark_later_rows(df, "k", ["t", "h"], "later", method="window")
+    assert marked.where(~F.col("later")).count() == rows.select("k").distinct().count()
+    assert marked.exceptAll(expected).isEmpty() and expected.exceptAll(marked).isEmpty()
