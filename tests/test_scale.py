@@ -1,11 +1,19 @@
 """What keeps time, shuffle and memory in step with the input."""
 
+import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 
-from helpers import SF_SMALL
+from helpers import DAY, SF_SMALL, TS, land, raw_row
+from quayside.operators import dedupe
 from quayside.operators.dedupe import BITMAP_ROWS, mark_later_rows, with_row_ids
+from quayside.operators.route import gold_rows
+from quayside.plans.gold_run import stage_to_storage
+from quayside.schema import GOLD_SCHEMA
+from quayside.sinks.tables import pack_rows, unpack_rows
 from quayside.sources.csv_files import file_table, read_lines, read_order_csvs, stage_lines
-from quayside.session import scratch_path
+from quayside.session import hadoop_path, scratch_path
 from quayside.sources.fixture import fixture_raw_orders
 
 
@@ -59,3 +67,59 @@ def test_numbering_shuffles_no_rows_and_is_that_of_a_window(spark):
     expected = mark_later_rows(df, "k", ["t", "h"], "later", method="window")
     assert marked.where(~F.col("later")).count() == rows.select("k").distinct().count()
     assert marked.exceptAll(expected).isEmpty() and expected.exceptAll(marked).isEmpty()
+
+
+def test_a_days_rows_are_staged_without_a_second_copy(spark):
+    lake, raw = land(spark, [raw_row(order_id=k, row_hash=f"{k}{i}") for i, k in enumerate("abca")])
+    st = stage_to_storage(spark, raw, lake, DAY)
+    assert sorted((r.order_id, r.duplicate_order_id) for r in st.collect()) == [("a", False), ("a", True), ("b", False), ("c", False)]
+    assert all("/raw/orders/" in f for f in st.inputFiles() if "/first_rows/" not in f)
+    plan = _plan(gold_rows(st, "2024-03-11 07:00:00"))
+    assert "Exchange hashpartitioning" not in plan and "SortAggregate" not in plan
+    fs, folders = hadoop_path(spark, f"{lake.staging}/run_date={DAY}/*/*")
+    assert [f.getPath().getName() for f in fs.globStatus(folders)] == ["first_rows"]
+
+
+def test_bitmaps_too_large_to_broadcast_leave_a_staged_copy(spark, monkeypatch):
+    lake, raw = land(spark, [raw_row(order_id=k, row_hash=f"{k}{i}") for i, k in enumerate("abca")])
+    monkeypatch.setattr(dedupe, "BROADCAST_BYTES", 0)
+    st = stage_to_storage(spark, raw, lake, DAY)
+    assert all("/_staging/" in f and "/rows/" in f for f in st.inputFiles())
+    assert sorted((r.order_id, r.duplicate_order_id) for r in st.collect()) == [("a", False), ("a", True), ("b", False), ("c", False)]
+
+
+@pytest.mark.parametrize("method", ["aggregate", "window"])
+def test_rows_of_taken_keys_are_all_later_ones(spark, method):
+    path = scratch_path(spark, "rows")
+    spark.sql("select k, t from values ('a', 1), ('a', 2), (null, 1), (null, 2), ('b', 2), ('b', 1), ('c', 1) as v(k, t)").write.parquet(path)
+    taken = spark.sql("select * from values ('a'), (cast(null as string)), ('x'), ('a') as v(key)")
+    marked = mark_later_rows(with_row_ids(spark.read.parquet(path)), "k", ["t"], "later", method=method, taken=taken)
+    assert sorted((r.k, r.t) for r in marked.where(~F.col("later")).collect()) == [("b", 1), ("c", 1)]
+    assert marked.count() == 7
+
+
+def test_gold_rows_come_back_from_their_packed_form(spark):
+    hashes = ["0123456789abcdef" * 2, "ABCDEF", "abc", "", None, "h-1", "ab"]
+    texts = ["plain", "", None, "a\x01b", "\x02", "é \x00", "x\x01"]
+    rows = []
+    for i, (h, t) in enumerate(zip(hashes, texts)):
+        row = {f.name: None for f in GOLD_SCHEMA.fields}
+        row |= {"order_id": f"O{i}", "customer_name": t, "category": texts[-i], "order_status": t, "_row_hash": h, "quantity": i, "revenue": i / 3}
+        row |= {"order_date": dt.date(2024, 3, 1 + i), "_gold_created_at": TS}
+        rows.append(tuple(row[c] for c in GOLD_SCHEMA.fieldNames()))
+    df = spark.createDataFrame(rows, GOLD_SCHEMA)
+    back = unpack_rows(pack_rows(df).repartition(3, "order_date"))
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+    packed = pack_rows(df).collect()
+    assert [r["_code"] is not None for r in packed].count(True) == 3
+    assert [r["_odd"] is None for r in packed].count(True) == sum(not {"\x01", "\x02"} & set("".join(v for v in r if isinstance(v, str))) for r in rows)
+
+
+def test_valid_rows_are_filtered_in_compiled_code(spark):
+    lake, raw = land(spark, [raw_row(order_id=k, row_hash=k) for k in "abc"])
+    valid = gold_rows(stage_to_storage(spark, raw, lake, DAY), "2024-03-11 07:00:00").select("order_date", "_row_hash")
+    assert len(valid.collect()) == 3  # the plan that ran, stages and all
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(valid._jdf.queryExecution().executedPlan())
+    assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
