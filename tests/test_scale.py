@@ -123,3 +123,21 @@ def test_valid_rows_are_filtered_in_compiled_code(spark):
     debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
     stages = debug.codegenStringSeq(valid._jdf.queryExecution().executedPlan())
     assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
+
+
+@pytest.mark.parametrize("odd", [None, "", "!", "F" * 32, "3f", "3g" * 16, "a" * 33, "zz", "é" * 32])
+def test_hashes_of_any_form_order_rows_as_texts_do(spark, odd):
+    hexed = ["3e" * 16, "3f" * 16, "a" * 32]
+    rows = [("O-1", 1, h) for h in [*hexed, odd]] + [("O-2", 1, odd), ("O-2", 0, hexed[2]), (None, 1, hexed[0])]
+    df = spark.createDataFrame(rows, "k string, t int, _row_hash string").repartition(3)
+    marked = mark_later_rows(with_row_ids(df), "k", ["t", "_row_hash"], "later").where(~F.col("later"))
+    first = min([*hexed, odd], key=lambda h: (h is not None, (h or "").encode()))
+    assert {tuple(r) for r in marked.select("k", "t", "_row_hash").collect()} == {
+        ("O-1", 1, first), ("O-2", 0, hexed[2]), (None, 1, hexed[0])
+    }
+
+
+def test_numbering_shuffles_hashes_as_bytes(spark):
+    df = spark.createDataFrame([("O-1", "ab" * 16)], "k string, _row_hash string")
+    shuffled, below = _plan(dedupe.first_rows(df, "k", ["_row_hash"])).split("partial_min", 1)
+    assert "Exchange" in shuffled and "unhex(_row_hash" in below and "unhex" not in shuffled
