@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.hashing import hash_bytes, hash_text
 from quayside.schema import GOLD_SCHEMA, RUN
 from quayside.session import drop_folder, hadoop_path
 
@@ -106,20 +107,24 @@ def possible(rows: DataFrame, members: DataFrame, dates: list[dt.date]) -> DataF
     """(order_date, _row_hash) of the rows that may be in gold.
 
     ``dates`` are the rows' order dates (bounded by the calendar); they prune the summaries' row
-    groups. A row goes once to every level that its date has a filter of.
+    groups. A row goes once to every level that its date has a filter of: the levels, a few per
+    date, are broadcast, and the one shuffle, by date and block, has hashes as their bytes.
     """
     asked = members.where(F.col("order_date").isin(dates))
     levels = asked.select("order_date", "level").distinct()
+    code = hash_bytes("_row_hash")
     keyed = (
         rows.select("order_date", "_row_hash")
         .where(F.col("_row_hash").isNotNull())
-        .join(levels, "order_date")
-        .withColumn("block", _block("_row_hash", "level"))
+        .join(F.broadcast(levels), "order_date")
+        .select(*KEY[:2], _block("_row_hash", "level").alias("block"), code.alias("_code"), F.when(code.isNull(), F.col("_row_hash")).alias("_other"))
     )
+    text = F.coalesce(hash_text("_code"), "_other")
     hit = F.lit(True)
     for w, b in zip(WORDS, _bits(_second("_row_hash"))):
         hit = hit & (F.col(w).bitwiseAND(b) != 0)
-    return keyed.join(asked, KEY).where(hit).select("order_date", "_row_hash").distinct()
+    met = keyed.join(asked, KEY).select("order_date", text.alias("_row_hash"), *WORDS)
+    return met.where(hit).select("order_date", "_row_hash").distinct()
 
 
 def read_gold_dates(spark: SparkSession, gold: str, dates: list[dt.date], runs: list[str]) -> DataFrame | None:

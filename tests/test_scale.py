@@ -13,7 +13,8 @@ from quayside.plans.gold_run import stage_to_storage
 from quayside.schema import GOLD_SCHEMA
 from quayside.sinks.tables import pack_rows, unpack_rows
 from quayside.sources.csv_files import file_table, read_lines, read_order_csvs, stage_lines
-from quayside.session import hadoop_path, scratch_path
+from quayside.session import hadoop_path, scratch_path, session_conf
+from quayside.sinks.members import possible, summary
 from quayside.sources.fixture import fixture_raw_orders
 
 
@@ -141,3 +142,16 @@ def test_numbering_shuffles_hashes_as_bytes(spark):
     df = spark.createDataFrame([("O-1", "ab" * 16)], "k string, _row_hash string")
     shuffled, below = _plan(dedupe.first_rows(df, "k", ["_row_hash"])).split("partial_min", 1)
     assert "Exchange" in shuffled and "unhex(_row_hash" in below and "unhex" not in shuffled
+
+
+def test_rows_asked_of_the_summaries_are_shuffled_once_and_as_bytes(spark):
+    day = dt.date(2024, 3, 9)
+    rows = spark.createDataFrame([(day, h) for h in ("ab" * 16, "odd", "AB" * 16, None)], "order_date date, _row_hash string")
+    path = scratch_path(spark, "members")
+    summary(rows.where("_row_hash <> 'odd'")).write.parquet(path)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        hits = possible(rows, spark.read.parquet(path), [day])
+        plan = _plan(hits)
+        assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" in plan and "unhex(_row_hash" in plan
+        found = {(r.order_date, r._row_hash) for r in hits.collect()}
+    assert {(day, "ab" * 16), (day, "AB" * 16)} <= found <= {(day, h) for h in ("ab" * 16, "AB" * 16, "odd")}
