@@ -34,6 +34,7 @@ from quayside.session import ship_package
 TRAIN_DOCS = 6000
 CHAIN = 32
 STEPS = 120
+SLICE = 2 << 20  # bytes of text at a time; a worker takes some 20 times as many
 #: Bin edges of shares, and of lengths.
 SHARE_EDGES = np.array([0.0, 0.01, 0.03, 0.08, 0.2, 0.4, 0.7])
 LENGTH_EDGES = np.array([8, 20, 50, 120, 300, 800, 2500])
@@ -278,7 +279,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_docs
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             bins, lengths, doc = line_bins(*text_buffer(batch.column(1)))
             cut = np.searchsorted(doc, np.arange(batch.num_rows + 1)).tolist()
             yield pa.RecordBatch.from_arrays(
@@ -302,16 +303,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_docs
     return fit(np.concatenate([none, *bins]), np.concatenate([np.zeros(0), *lengths]), doc, rows["label"].to_numpy())
 
 
+def chances(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """(rows, chance of label 1 of each), some at a time."""
+    for batch in slices(batches, "text", SLICE):
+        bins, lengths, doc = line_bins(*text_buffer(batch.column(batch.schema.get_field_index("text"))))
+        quality = document_quality(model, bins, lengths, doc, batch.num_rows)
+        chance = 1 / (1 + np.exp(-(model.slope * _logit(quality) + model.shift)))
+        yield batch, np.where(np.isnan(quality), model.empty, chance)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (chance of label 1) of every whole text."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            bins, lengths, doc = line_bins(*text_buffer(batch.column(1)))
-            quality = document_quality(model, bins, lengths, doc, batch.num_rows)
-            chance = 1 / (1 + np.exp(-(model.slope * _logit(quality) + model.shift)))
-            chance = np.where(np.isnan(quality), model.empty, chance)
+        for batch, chance in chances(batches, model):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chance)], ["doc_id", "score"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
@@ -321,14 +327,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def keep(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of docs whose text scores at least the threshold; all columns, unchanged."""
     ship_package(docs.sparkSession)
-    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            bins, lengths, doc = line_bins(*text_buffer(batch.column(at)))
-            quality = document_quality(model, bins, lengths, doc, batch.num_rows)
-            chance = 1 / (1 + np.exp(-(model.slope * _logit(quality) + model.shift)))
-            chance = np.where(np.isnan(quality), model.empty, chance)
+        for batch, chance in chances(batches, model):
             yield batch.filter(pa.array(chance >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

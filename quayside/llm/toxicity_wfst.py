@@ -48,6 +48,7 @@ from quayside.llm.spans import slices, text_buffer
 from quayside.session import scratch_path, ship_package
 
 TRAIN_DOCS = 10000
+SLICE = 2 << 20  # bytes of text at a time; a worker takes some 25 times as many
 STEM_SIZES = range(3, 10)
 MIN_DOCS, MIN_WORDS, MIN_WORD_DOCS = 3, 3, 8
 #: Toxic documents that a clean one with the same stem outweighs, both as shares of their kind. This and MIN_DOCS
@@ -351,7 +352,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_docs:
     n_clean = sizes.get(0, 0)
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[list[set]]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             words, doc, _ = words_of(*text_buffer(batch.column(0)))
             cut = np.searchsorted(doc, np.arange(batch.num_rows + 1)).tolist()
             coded = words.dictionary_encode()
@@ -387,14 +388,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_docs:
     return Model(model.stems, weights, bias)
 
 
+def pattern_sums(
+    batches: Iterator[pa.RecordBatch], text: str, machine: Machine
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, counts, sums) of the machine over a text column, some rows at a time."""
+    for batch in slices(batches, text, SLICE):
+        yield batch, *machine.run(*text_buffer(batch.column(batch.schema.get_field_index(text))))
+
+
 def _count(rows: DataFrame, model: Model, other: str) -> DataFrame:
     """Weighted pattern sums of the first column's texts, beside the second column."""
     text = rows.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = model.machine()
-        for batch in slices(batches, text):
-            sums = machine.run(*text_buffer(batch.column(0)))[1]
+        for batch, _, sums in pattern_sums(batches, text, machine):
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(sums), pa.list_(pa.float64()))], [other.split()[0], "counts"])
 
     return rows.mapInArrow(run, f"{other}, counts array<double>")
@@ -406,8 +414,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = model.machine()
-        for batch in slices(batches, "text"):
-            counts, sums = machine.run(*text_buffer(batch.column(1)))
+        for batch, counts, sums in pattern_sums(batches, "text", machine):
             shown = [" ".join(f"{p}:{n:.3g}" for p, n in zip(PATTERNS, row) if n) for row in counts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(model.chances(sums)), pa.array(shown)], ["doc_id", "score", "patterns"]
@@ -426,12 +433,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def keep(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """The rows of docs whose text scores below the threshold; all columns, unchanged."""
     ship_package(docs.sparkSession)
-    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = model.machine()
-        for batch in slices(batches, "text"):
-            chance = model.chances(machine.run(*text_buffer(batch.column(at)))[1])
-            yield batch.filter(pa.array(chance < threshold))
+        for batch, _, sums in pattern_sums(batches, "text", machine):
+            yield batch.filter(pa.array(model.chances(sums) < threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from string import ascii_lowercase, ascii_uppercase
 
@@ -144,6 +145,22 @@ def test_quality_odd_rows(spark, odd_docs):
     assert quality_crf.score(odd_docs.limit(0), model).count() == 0
 
 
+def test_classifiers_take_little_memory_whatever_the_batch():
+    """A batch of Arrow is 10,000 rows however long; what a worker takes follows the bytes in hand, not the batch."""
+    texts = [("Some plain words, and more of them; you idiot.\n" * 20)] * 17_000
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    rng = np.random.default_rng(3)
+    model = quality_crf.Model(rng.normal(size=3 * quality_crf.FEATURES * quality_crf.BINS), np.zeros((2, 2)), 1.0, 0.0, 0.5, 0.5)
+    machine = toxicity_wfst.Machine({b"zork": 0.5})
+    for rows in (lambda b: quality_crf.chances([b], model), lambda b: toxicity_wfst.pattern_sums([b], "text", machine)):
+        tracemalloc.start()
+        found = np.concatenate([r[-1] for r in rows(whole)])
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 80e6, peak
+        assert len(found) == len(texts) and (found == next(rows(whole.slice(0, 1)))[-1][0]).all()
+
+
 def patterns(text):
     machine = toxicity_wfst.Machine({b"zork": 0.5})
     sums = machine.counts(*text_buffer(pa.array([text], pa.string())))[0]
